@@ -40,10 +40,21 @@ def unpaid_orders(tables) -> DataFrame:
 
 
 def overdue_payments(tables, limit: int | None = TOP_UNPAID) -> DataFrame:
-    """The largest unpaid orders. Order ids may repeat, so ties are cut by all columns."""
+    """The largest unpaid orders. Order ids may repeat, so ties are cut by all columns.
+
+    The smallest amount that can make the list is read from the orders alone, so the
+    joins see only the few orders at or above it. Should some of those have no
+    customer, the list would come out short, and all unpaid orders are joined instead.
+    """
     chosen = unpaid_orders(tables)
     if limit is None:
         return chosen
+    amounts = tables.purchases("payment_status", "amount").where(F.col("payment_status").isin(UNPAID))
+    largest = amounts.orderBy(F.desc("amount")).limit(limit).agg(F.min("amount").alias("least"), rows().alias("n")).first()
+    if largest["n"] == limit:
+        enough = chosen.where(F.col("amount") >= largest["least"])
+        if enough.count() >= limit:
+            chosen = enough
     ties = [c for c in UNPAID_COLUMNS if c != "amount"]
     return chosen.orderBy(F.desc("amount"), *ties).limit(limit)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from supportlens.functions.expressions import FINISHED, STILL_OPEN, attention_order, mean, percent, rounded, rows
+from supportlens.functions.expressions import FINISHED, STILL_OPEN, attention_order, mean, percent, rows
 from supportlens.functions.params import ListParam, keep_listed
 
 ESCALATION_COLUMNS = [
@@ -68,35 +68,33 @@ def agent_performance(tables, limit: int | None = TOP_AGENTS) -> DataFrame:
     return metrics.orderBy(F.col("avg_resolution_hours").asc_nulls_first(), "assigned_agent").limit(limit)
 
 
-def sla_measures(max_first_response: str, max_resolution: str) -> dict[str, str]:
-    """Aggregates of the breach report as SQL text, for limits given as SQL operands.
+# Breach counts over the flags ``late`` and ``slow`` of each ticket, as SQL text for both surfaces.
+SLA_MEASURES = {
+    "breached_response_sla": "count_if(late)",
+    "breached_resolution_sla": "count_if(slow)",
+    "total_tickets": "count(*)",
+    "breach_rate_pct": "cast(round(cast(count_if(late or slow) * 100.0d / count(*) as decimal(28,10)), 1) as double)",
+}
+
+
+def sla_flags(max_first_response: str, max_resolution: str) -> dict[str, str]:
+    """Whether a ticket breaches each limit; the limits are SQL operands.
 
     An unresolved ticket has no resolution time: it breaches nothing but counts in the total.
     """
-    late = f"coalesce(first_response_minutes > {max_first_response}, false)"
-    slow = f"coalesce(resolution_hours > {max_resolution}, false)"
     return {
-        "breached_response_sla": f"count_if({late})",
-        "breached_resolution_sla": f"count_if({slow})",
-        "total_tickets": "count(*)",
-        "breach_rate_pct": f"cast(round(cast(count_if({late} or {slow}) * 100.0d / count(*) as decimal(28,10)), 1) as double)",
+        "late": f"coalesce(first_response_minutes > {max_first_response}, false)",
+        "slow": f"coalesce(resolution_hours > {max_resolution}, false)",
     }
 
 
 def sla_breach_summary(tables, max_first_response_min: float, max_resolution_hours: float) -> DataFrame:
     """Tickets beyond the response or resolution limit, per category and priority."""
     source = tables.support_tickets("category", "priority", "first_response_minutes", "resolution_hours")
-    measures = sla_measures(f"{float(max_first_response_min)!r}d", f"{float(max_resolution_hours)!r}d")
+    flags = sla_flags(f"{float(max_first_response_min)!r}d", f"{float(max_resolution_hours)!r}d")
     return (
-        source.groupBy("category", "priority")
-        .agg(*[F.expr(text).alias(name) for name, text in measures.items()])
+        source.select("category", "priority", *[F.expr(text).alias(name) for name, text in flags.items()])
+        .groupBy("category", "priority")
+        .agg(*[F.expr(text).alias(name) for name, text in SLA_MEASURES.items()])
         .orderBy(F.desc("breach_rate_pct"), "category", "priority")
     )
-
-
-def category_share(tables) -> DataFrame:
-    """Tickets per category with the mean response time, for reports that need only these."""
-    source = tables.support_tickets("category", "first_response_minutes")
-    return source.groupBy("category").agg(
-        rows().alias("tickets"), rounded(F.avg("first_response_minutes"), 1).alias("avg_first_response_min")
-    )

@@ -123,6 +123,11 @@ def search(
     hits = top_k(found, index.key, num_results)
     if source is None:
         return hits
+    if num_results <= MAX_INLINE:
+        # A bounded list of keys: the scan of the source prunes with it.
+        best = hits.collect()
+        hits = index.spark.createDataFrame(best, found.schema)
+        source = source.where(F.col(index.key).isin([row[index.key] for row in best]))
     # At most num_results rows.
     with_columns = source.join(F.broadcast(hits), index.key)
     return with_columns.select("search_score", *source.columns).orderBy(F.desc("search_score"), index.key)

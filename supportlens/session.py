@@ -76,12 +76,14 @@ def stored(spark: SparkSession, key: tuple[str, ...], build: Callable[[str], Non
     return _stored[full]
 
 
+FEW_FILES = 16
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a table that comes in fewer splits than there are cores.
+    """Spread rows that come from a handful of files over all cores.
 
-    For heavy per-row work only. A table of many files already fills the cluster and
-    is returned as it is. A single-file table may hold one row group, whatever its
-    number of splits, hence the factor.
+    For heavy per-row work only: a small file is often one row group, hence one task.
+    A table of many files already fills the cluster and is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < min(cores, FEW_FILES) else df

@@ -16,11 +16,19 @@ from supportlens.operators.text_index import text_vectors
 from supportlens.session import spread
 
 
-def write_version(rows: DataFrame, text: str, path: str, version: int, deleted: str | None = None) -> None:
-    """Index the rows as one version. ``deleted`` names a boolean column of tombstones."""
-    marked = rows.withColumn("deleted", F.col(deleted) if deleted else F.lit(False))
-    vectors = text_vectors(spread(marked), text)
-    vectors.write.mode("overwrite").parquet(f"{path}/version={version}")
+def write_version(
+    rows: DataFrame, key: str, text: str, path: str, version: int, deleted: str | None = None, sequence: str | None = None
+) -> None:
+    """Index the rows as one version.
+
+    ``deleted`` names a boolean column of tombstones. Where a key can occur twice in
+    one increment, ``sequence`` names the column whose largest value is the newest.
+    """
+    if sequence:
+        newest = rows.groupBy(key).agg(F.max(sequence).alias(sequence))
+        rows = rows.join(newest, [key, sequence]).drop(sequence)
+    marked = rows.withColumnRenamed(deleted, "deleted") if deleted else rows.withColumn("deleted", F.lit(False))
+    text_vectors(spread(marked), text).write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
 def current(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -39,16 +47,16 @@ def compact(spark: SparkSession, path: str, key: str, target: str) -> None:
     rows.write.mode("overwrite").parquet(f"{target}/version=0")
 
 
-def write_changes(feed: DataFrame, text: str, path: str, version: int) -> None:
+def write_changes(feed: DataFrame, key: str, text: str, path: str, version: int) -> None:
     """Index a change feed: new states become rows, deletions become tombstones."""
     changes = feed.where(F.col("_change_type").isin(INSERT, AFTER, DELETE))
     marked = changes.withColumn("_gone", F.col("_change_type") == DELETE).drop("_change_type")
-    write_version(marked, text, path, version, deleted="_gone")
+    write_version(marked, key, text, path, version, deleted="_gone")
 
 
 def start_sync(
     spark: SparkSession, folder: str, pattern: str, schema: StructType, key: str, text: str, path: str, checkpoint: str,
-    continuous: str | None = None, max_files: int | None = None,
+    continuous: str | None = None, max_files: int | None = None, sequence: str | None = None,
 ) -> StreamingQuery:
     """Index the files of a folder that match ``pattern``, as they arrive.
 
@@ -58,16 +66,18 @@ def start_sync(
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.parquet(folder).select(key, text)
+    rows = reader.parquet(folder).select(key, text, *([sequence] if sequence else []))
 
     def index_batch(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, text, path, batch_id)
+        write_version(batch, key, text, path, batch_id, sequence=sequence)
 
     writer = rows.writeStream.foreachBatch(index_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def sync_now(spark: SparkSession, folder: str, pattern: str, schema: StructType, key: str, text: str, path: str, checkpoint: str, **options) -> None:
+def sync_now(
+    spark: SparkSession, folder: str, pattern: str, schema: StructType, key: str, text: str, path: str, checkpoint: str, **options
+) -> None:
     """Process everything new and wait for it."""
     start_sync(spark, folder, pattern, schema, key, text, path, checkpoint, **options).awaitTermination()
