@@ -77,12 +77,19 @@ def ticket_weight(tables) -> DataFrame:
     )
 
 
-def buyers(tables) -> DataFrame:
-    """Per customer and product name and category: number of orders."""
-    bought = tables.purchases("customer_id", "product_id").groupBy("customer_id", "product_id").agg(rows().alias("orders"))
+def buyers(tables, only: DataFrame) -> DataFrame:
+    """Number of orders per customer and product name and category, for some customers.
+
+    ``only`` holds one row per customer; its other columns are carried along. The
+    customers are chosen first: what is left is reduced to one row per customer and
+    product before it meets the product table, where a product may be hot.
+    """
+    carried = [c for c in only.columns if c != "customer_id"]
+    bought = tables.purchases("customer_id", "product_id").join(only, "customer_id")
+    per_product = bought.groupBy("customer_id", "product_id", *carried).agg(rows().alias("orders"))
     return (
-        bought.join(tables.products("product_id", "name", "category"), "product_id")
-        .groupBy("customer_id", F.col("name").alias("product_name"), "category")
+        per_product.join(tables.products("product_id", "name", "category"), "product_id")
+        .groupBy("customer_id", F.col("name").alias("product_name"), "category", *carried)
         .agg(F.sum("orders").alias("orders"))
     )
 
@@ -90,14 +97,13 @@ def buyers(tables) -> DataFrame:
 def correlation_metrics(tables, repeat_orders: bool = True) -> DataFrame:
     """Tickets of a product's buyers, per product name and category.
 
-    Orders and tickets meet many-to-many on the customer. Both sides are reduced to
-    one row per customer (and product) first, and a customer's tickets are then
-    multiplied by the number of orders instead of being listed once per order.
+    Orders and tickets meet many-to-many on the customer. Tickets are reduced to one
+    row per customer first, and that row is multiplied by the number of orders
+    instead of being listed once per order.
     ``repeat_orders=False`` counts each ticket once however often its customer bought.
     """
     times = F.col("orders") if repeat_orders else F.lit(1)
-    joined = buyers(tables).join(ticket_weight(tables), "customer_id")
-    return joined.groupBy("product_name", "category").agg(
+    return buyers(tables, ticket_weight(tables)).groupBy("product_name", "category").agg(
         rows().alias("customers_with_tickets"),
         F.sum(F.col("tickets") * times).alias("total_tickets_from_buyers"),
         rounded(

@@ -55,7 +55,7 @@ def ticket_themes(tables) -> DataFrame:
         tables.support_tickets("customer_id", "category").groupBy("customer_id", F.col("category").alias("theme")).agg(rows().alias("tickets"))
     )
     per_theme = (
-        product.buyers(tables).join(filed, "customer_id")
+        product.buyers(tables, filed.select("customer_id").distinct()).join(filed, "customer_id")
         .groupBy("product_name", "category", "theme")
         .agg(F.sum(F.col("tickets") * F.col("orders")).alias("n"))
     )
@@ -136,8 +136,9 @@ def at_risk_products_used(tables, min_churn: float = AT_RISK) -> DataFrame:
     filed = critical_tickets(tables).groupBy("customer_id").agg(rows().alias("critical_tickets"))
     at_risk = tables.customers("customer_id", "company_name", "churn_risk_score", "health_score")
     at_risk = at_risk.where(F.col("churn_risk_score") >= min_churn).join(filed, "customer_id")
-    used = product.buyers(tables).groupBy("customer_id", "product_name").agg(F.sum("orders").alias("orders"))
-    return at_risk.join(used, "customer_id")
+    used = product.buyers(tables, at_risk)
+    carried = [c for c in used.columns if c not in ("category", "orders")]
+    return used.groupBy(*carried).agg(F.sum("orders").alias("orders"))
 
 
 def frustrated_customers(tables, index: TextIndex, text: str, category: str = "Integration", num_results: int = 50) -> DataFrame:

@@ -30,25 +30,27 @@ def route_questions(questions: DataFrame, keys: list[str], text: str, descriptio
         .where(F.col("idf") > 0)
     )
     # The empty name carries the squared length of the question, counted once per term.
-    asked = questions.select(*keys, F.explode(term_counts(F.col(text))).alias("c"))
+    length_entry = F.struct(F.lit("").alias("tool"), F.col("_asked").alias("weight"))
     matched = (
-        asked.select(*keys, F.col("c.term").alias("term"), log_tf(F.col("c.tf")).alias("q"))
+        questions.select(*keys, F.explode(term_counts(F.col(text))).alias("_c"))
+        .select(*keys, F.col("_c.term").alias("term"), log_tf(F.col("_c.tf")).alias("_tf"))
         .join(F.broadcast(terms), "term")
-        .withColumn("q", F.col("q") * F.col("idf"))
-        .select(*keys, "q", F.explode(F.concat("tools", F.array(F.struct(F.lit("").alias("tool"), F.col("q").alias("weight"))))).alias("t"))
-        .groupBy(*keys, F.col("t.tool").alias("tool"))
-        .agg(F.sum(F.col("q") * F.col("t.weight")).alias("raw"))
+        .select(*keys, (F.col("_tf") * F.col("idf")).alias("_asked"), "tools")
+        .select(*keys, "_asked", F.explode(F.concat("tools", F.array(length_entry))).alias("_t"))
+        .groupBy(*keys, F.col("_t.tool").alias("_tool"))
+        .agg(F.sum(F.col("_asked") * F.col("_t.weight")).alias("_raw"))
     )
-    is_tool = F.col("tool") != ""
+    is_tool = F.col("_tool") != ""
     # At most one entry per tool in the list.
     gathered = matched.groupBy(*keys).agg(
-        F.sqrt(F.max(F.when(~is_tool, F.col("raw")))).alias("length"),
-        F.collect_list(F.when(is_tool, F.struct("tool", "raw"))).alias("found"),
+        F.sqrt(F.max(F.when(~is_tool, F.col("_raw")))).alias("_length"),
+        F.collect_list(F.when(is_tool, F.struct("_tool", "_raw"))).alias("_found"),
     )
     ranked = F.transform(
-        "found", lambda e: F.struct((-F.round(e["raw"] / F.col("length"), DIGITS)).alias("negative"), e["tool"].alias("tool"))
+        "_found",
+        lambda e: F.struct((-F.round(e["_raw"] / F.col("_length"), DIGITS)).alias("negative"), e["_tool"].alias("tool")),
     )
-    best = gathered.select(*keys, F.array_min(ranked).alias("b"))
+    best = gathered.select(*keys, F.array_min(ranked).alias("_best"))
     return questions.select(*keys).join(best, keys, "left").select(
-        *keys, F.col("b.tool").alias("tool"), F.coalesce(-F.col("b.negative"), F.lit(0.0)).alias("score")
+        *keys, F.col("_best.tool").alias("tool"), F.coalesce(-F.col("_best.negative"), F.lit(0.0)).alias("score")
     )

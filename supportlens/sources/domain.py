@@ -63,16 +63,15 @@ def steps(number: Column, bounds: list[int], values: list[str]) -> Column:
     return result.otherwise(values[-1])
 
 
-class CatalogTables:
-    """Reads the six tables under their own names from a catalog database."""
+class FrameTables:
+    """The six tables as given DataFrames."""
 
-    def __init__(self, spark: SparkSession, database: str = "", purchases: str = "orders"):
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame]):
         self.spark = spark
-        self._prefix = f"{database}." if database else ""
-        self._names = {name: name for name in TABLE_NAMES} | {"purchases": purchases}
+        self._frames = frames
 
     def _table(self, name: str, columns: tuple[str, ...]) -> DataFrame:
-        df = self.spark.table(self._prefix + self._names[name])
+        df = self._frames[name]
         return df.select(*columns) if columns else df
 
     def products(self, *columns: str) -> DataFrame:
@@ -94,6 +93,15 @@ class CatalogTables:
         return self._table("product_reviews", columns)
 
 
+class CatalogTables(FrameTables):
+    """Reads the six tables from a catalog database; orders go by their own name there."""
+
+    def __init__(self, spark: SparkSession, database: str = "", purchases: str = "orders"):
+        prefix = f"{database}." if database else ""
+        names = {name: name for name in TABLE_NAMES} | {"purchases": purchases}
+        super().__init__(spark, {name: spark.table(prefix + found) for name, found in names.items()})
+
+
 class StarTables:
     """Derives the six tables from the star-schema parquet files of one folder."""
 
@@ -255,7 +263,7 @@ class StarTables:
         return self._project(df, derived, columns)
 
 
-def register_views(tables: StarTables | CatalogTables) -> None:
+def register_views(tables: StarTables | FrameTables) -> None:
     """Publish the six tables as temporary views of the session."""
     for name in TABLE_NAMES:
         getattr(tables, name)().createOrReplaceTempView(name)
