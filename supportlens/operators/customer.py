@@ -38,13 +38,19 @@ def at_risk_customers(
     """Customers at or above a churn risk, riskiest first.
 
     ``predicate`` narrows the candidates before the cut; ``limit=None`` returns all.
+    The keys that make the list are found first, from the few columns that decide,
+    so the remaining columns are looked up for those customers only.
     """
-    chosen = risk_profiles(tables).where(F.col("churn_risk_score") >= min_churn_risk)
+    profiles = risk_profiles(tables)
+    chosen = profiles.where(F.col("churn_risk_score") >= min_churn_risk)
     if predicate is not None:
         chosen = chosen.where(predicate)
     if limit is None:
         return chosen
-    return chosen.orderBy(F.desc("churn_risk_score"), "customer_id").limit(limit)
+    order = [F.desc("churn_risk_score"), "customer_id"]
+    # At most ``limit`` keys.
+    keys = [r["customer_id"] for r in chosen.orderBy(*order).limit(limit).select("customer_id").collect()]
+    return keep_listed(profiles, "customer_id", keys).orderBy(*order)
 
 
 def industry_metrics(tables) -> DataFrame:

@@ -1,13 +1,13 @@
 """Nearest neighbours over unit-length vectors: one query, all queries, exact or approximate.
 
-The index is split into lists around centroids. A list may hold a third of all
-vectors, so lists are cut into chunks of bounded size on both the index and the
-query side; each pair of chunks is scored by one matrix product and keeps only its
-k best per query.
+The index is split into lists around centroids, and large lists into rings by the
+angle to their centroid. A list or ring may hold a third of all vectors, so these
+cells are cut into chunks of bounded size, on the index and on the query side; each
+pair of chunks is scored by matrix products and keeps only its k best per query.
 
 The exact join probes each query's nearest list first. The k-th score found there
-rules out every list whose best possible score, from the triangle inequality on
-angles, is lower; the remaining lists are probed in a second round.
+rules out every cell whose best possible score, from the triangle inequality on
+angles, is lower; the remaining cells are probed in a second round.
 """
 
 from __future__ import annotations
@@ -26,7 +26,10 @@ from supportlens.functions.vectors import dot
 from supportlens.session import written
 
 CHUNK = 4096
-MAX_LISTS = 4096
+# Queries scored at a time, which bounds the memory of a task.
+BLOCK = 256
+MAX_LISTS = 1024
+RINGS = 32
 DIGITS = 6
 # Scores are compared after rounding; bounds get this much slack.
 SLACK = 2e-6
@@ -46,10 +49,14 @@ def vector_top_k(vectors: DataFrame, key: str, vector: str, query: list[float],
 
 
 class Lists:
-    """Centroids of the lists, with how far each list reaches and how many vectors it holds."""
+    """Centroids of the lists, and reach and size of their cells.
 
-    def __init__(self, ids: list, centroids: np.ndarray, reach: np.ndarray, sizes: np.ndarray):
-        self.ids, self.centroids, self.reach, self.sizes = ids, centroids, reach, sizes
+    Cell ``c`` belongs to list ``list_of[c]`` and holds ``sizes[c]`` vectors whose
+    angle to the centroid is between ``inner[c]`` and ``outer[c]``.
+    """
+
+    def __init__(self, centroids: np.ndarray, list_of: np.ndarray, inner: np.ndarray, outer: np.ndarray, sizes: np.ndarray):
+        self.centroids, self.list_of, self.inner, self.outer, self.sizes = centroids, list_of, inner, outer, sizes
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
@@ -58,113 +65,143 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
-def measure_lists(index: DataFrame, vector: str, list_id: str) -> Lists:
-    """Centroid, reach (largest angle to it) and size of each list. Reads the index twice."""
-    means = index.groupBy(list_id).agg(
-        F.count(F.lit(1)).alias("n"),
-        vector_to_array(Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))).alias("mean"),
-    )
+def _centroids(index: DataFrame, vector: str, list_id: str) -> tuple[list, np.ndarray]:
+    doubles = F.col(vector).cast("array<double>")
+    means = index.groupBy(list_id).agg(vector_to_array(Summarizer.mean(array_to_vector(doubles))).alias("mean"))
     found = means.orderBy(list_id).limit(MAX_LISTS + 1).collect()
     if len(found) > MAX_LISTS:
         raise ValueError(f"more than {MAX_LISTS} lists; use fewer, larger lists")
-    ids = [r[list_id] for r in found]
     centroids = np.array([r["mean"] for r in found])
-    centroids = centroids / np.linalg.norm(centroids, axis=1, keepdims=True)
-    rows = [(i, [float(x) for x in c]) for i, c in zip(ids, centroids)]
-    schema = T.StructType(
-        [T.StructField(list_id, index.schema[list_id].dataType), T.StructField("centroid", T.ArrayType(T.DoubleType()))]
-    )
-    # At most MAX_LISTS rows.
-    table = F.broadcast(index.sparkSession.createDataFrame(rows, schema))
-    nearest = index.join(table, list_id).groupBy(list_id).agg(F.min(dot(F.col(vector), F.col("centroid"))).alias("c"))
-    reach = {r[list_id]: np.arccos(np.clip(r["c"], -1.0, 1.0)) for r in nearest.collect()}
-    return Lists(ids, centroids, np.array([reach[i] for i in ids]), np.array([r["n"] for r in found]))
+    return [r[list_id] for r in found], centroids / np.linalg.norm(centroids, axis=1, keepdims=True)
 
 
-def _choose_lists(queries: DataFrame, key: str, vector: str, lists: Lists, choose, extra: str = "") -> DataFrame:
-    """Rows ``(key, vector, place)``: the lists each query probes, as positions in ``lists``.
+def place_in_lists(index: DataFrame, key: str, vector: str, list_id: str) -> tuple[DataFrame, Lists]:
+    """The index as ``(neighbour_id, vector, cell)`` with the measures of its lists.
 
-    ``choose(cosines, batch)`` returns a boolean matrix of queries by lists.
+    The vectors are stored with list and angle once; what is measured afterwards
+    reads only those two columns.
     """
-    dims = lists.centroids.shape[1]
+    spark = index.sparkSession
+    ids, centroids = _centroids(index, vector, list_id)
+    schema = T.StructType(
+        [
+            T.StructField(list_id, index.schema[list_id].dataType),
+            T.StructField("place", T.IntegerType()),
+            T.StructField("centroid", T.ArrayType(T.DoubleType())),
+        ]
+    )
+    # At most MAX_LISTS rows.
+    table = spark.createDataFrame([(v, i, [float(x) for x in centroids[i]]) for i, v in enumerate(ids)], schema)
+    cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(F.col("vector"), F.col("centroid"))))
+    angled = written(
+        index.select(F.col(key).alias("neighbour_id"), F.col(vector).cast("array<double>").alias("vector"), list_id)
+        .join(F.broadcast(table), list_id)
+        .select("neighbour_id", "vector", "place", F.acos(cosine).alias("angle")),
+        "knn-index",
+    )
+    reach = angled.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
+    slices, list_of, inner, outer = [], [], [], []
+    for r in sorted(reach.collect(), key=lambda r: r["place"]):
+        rings = max(1, min(RINGS, -(-r["n"] // CHUNK)))
+        width = (r["high"] - r["low"]) / rings
+        slices.append((r["place"], r["low"], width if width > 0 else 1.0, rings, len(list_of)))
+        list_of += [r["place"]] * rings
+        inner += [r["low"] + i * width for i in range(rings)]
+        outer += [r["low"] + (i + 1) * width for i in range(rings)]
+    # One row per list again.
+    cuts = F.broadcast(spark.createDataFrame(slices, "place int, low double, width double, rings int, first int"))
+    ring = F.least(F.floor((F.col("angle") - F.col("low")) / F.col("width")).cast("int"), F.col("rings") - 1)
+    placed = angled.join(cuts, "place").select("neighbour_id", "vector", (F.col("first") + ring).alias("cell"))
+    sizes = np.zeros(len(list_of), dtype=np.int64)
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["cell"]] = r["n"]
+    return placed, Lists(centroids, np.array(list_of), np.array(inner), np.array(outer), sizes)
+
+
+def _choose_cells(queries: DataFrame, key: str, vector: str, lists: Lists, choose, extra: str = "") -> DataFrame:
+    """Rows ``(query_id, query_vector, cell)``: the cells each query probes.
+
+    ``choose(cosines, found)`` returns a boolean matrix of queries by cells; ``found``
+    holds the values of the extra column.
+    """
+    centroids, filled = lists.centroids, lists.sizes > 0
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema[key].dataType),
             T.StructField("query_vector", T.ArrayType(T.DoubleType())),
-            T.StructField("place", T.IntegerType()),
+            T.StructField("cell", T.IntegerType()),
         ]
     )
-    centroids = lists.centroids
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            vectors = _matrix(batch.column("query_vector"), dims)
-            row, place = np.nonzero(choose(vectors @ centroids.T, batch))
-            taken = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("query_id").take(taken), batch.column("query_vector").take(taken), pa.array(place, pa.int32())],
-                names=["query_id", "query_vector", "place"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(start, BLOCK)
+                cosines = np.clip(_matrix(batch.column("query_vector"), centroids.shape[1]) @ centroids.T, -1.0, 1.0)
+                found = batch.column(extra).to_numpy(zero_copy_only=False) if extra else None
+                row, cell = np.nonzero(choose(cosines, found) & filled)
+                taken = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("query_id").take(taken),
+                        batch.column("query_vector").take(taken),
+                        pa.array(cell.astype(np.int32)),
+                    ],
+                    names=["query_id", "query_vector", "cell"],
+                )
 
     columns = [F.col(key).alias("query_id"), F.col(vector).cast("array<double>").alias("query_vector")]
     return queries.select(*columns, *([extra] if extra else [])).mapInArrow(probes, schema)
 
 
-def _nearest(n: int):
-    """The ``n`` lists with the closest centroids; earlier lists win ties."""
+def _nearest(lists: Lists, n: int):
+    """All cells of the ``n`` lists with the closest centroids; earlier lists win ties."""
 
-    def choose(cosines: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    def choose(cosines: np.ndarray, found) -> np.ndarray:
         order = np.argsort(-cosines, axis=1, kind="stable")[:, :n]
         chosen = np.zeros(cosines.shape, dtype=bool)
         np.put_along_axis(chosen, order, True, axis=1)
-        return chosen
+        return chosen[:, lists.list_of]
 
     return choose
 
 
 def _still_possible(lists: Lists):
-    """Lists other than the nearest that could hold a score of at least the k-th one found."""
-    reach = lists.reach
+    """Cells outside the nearest list that could hold a score of at least the k-th one found."""
+    nearest = _nearest(lists, 1)
 
-    def choose(cosines: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
-        found = batch.column("kth").to_numpy(zero_copy_only=False).astype(np.float64)
-        angle = np.arccos(np.clip(cosines, -1.0, 1.0)) - reach
-        best = np.cos(np.clip(angle, 0.0, np.pi))
-        possible = best >= (found - SLACK)[:, None]
-        return possible & ~_nearest(1)(cosines, batch)
+    def choose(cosines: np.ndarray, found: np.ndarray) -> np.ndarray:
+        angle = np.arccos(cosines)[:, lists.list_of]
+        gap = np.maximum(np.maximum(angle - lists.outer, lists.inner - angle), 0.0)
+        return (np.cos(gap) >= found[:, None] - SLACK) & ~nearest(cosines, found)
 
     return choose
 
 
 def _score_chunks(k: int, dims: int, exclude_self: bool):
     def score(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table(
-            {
-                "query_id": left.column("query_id").slice(0, 0),
-                "neighbour_id": right.column("neighbour_id").slice(0, 0),
-                "search_score": pa.array([], pa.float64()),
-            }
-        )
-        if left.num_rows == 0 or right.num_rows == 0:
-            return empty
         right = right.sort_by("neighbour_id")
-        queries, keys = left.column("query_id").combine_chunks(), right.column("neighbour_id").combine_chunks()
-        found = np.round(_matrix(left.column("query_vector"), dims) @ _matrix(right.column("vector"), dims).T, DIGITS)
-        if exclude_self:
-            same = queries.to_numpy(zero_copy_only=False)[:, None] == keys.to_numpy(zero_copy_only=False)[None, :]
-            found[same] = -np.inf
-        # Stable sort on rows ordered by key: equal scores keep the smaller key.
-        best = np.argsort(-found, axis=1, kind="stable")[:, :k]
-        row = np.repeat(np.arange(len(queries)), best.shape[1])
-        value = np.take_along_axis(found, best, axis=1).ravel()
-        kept = np.isfinite(value)
+        asked, keys = left.column("query_id").combine_chunks(), right.column("neighbour_id").combine_chunks()
+        index = _matrix(right.column("vector"), dims)
+        query_ids, neighbour_ids, values = [asked.slice(0, 0)], [keys.slice(0, 0)], [np.zeros(0)]
+        for start in range(0, len(asked) if len(keys) else 0, BLOCK):
+            part = left.slice(start, BLOCK)
+            ids = part.column("query_id").combine_chunks()
+            found = np.round(_matrix(part.column("query_vector"), dims) @ index.T, DIGITS)
+            if exclude_self:
+                found[ids.to_numpy(zero_copy_only=False)[:, None] == keys.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
+            # Stable sort on rows ordered by key: equal scores keep the smaller key.
+            best = np.argsort(-found, axis=1, kind="stable")[:, :k]
+            value = np.take_along_axis(found, best, axis=1).ravel()
+            kept = np.isfinite(value)
+            query_ids.append(ids.take(pa.array(np.repeat(np.arange(len(ids)), best.shape[1])[kept])))
+            neighbour_ids.append(keys.take(pa.array(best.ravel()[kept])))
+            values.append(value[kept])
         return pa.table(
             {
-                "query_id": queries.take(pa.array(row[kept])),
-                "neighbour_id": keys.take(pa.array(best.ravel()[kept])),
-                "search_score": pa.array(value[kept]),
+                "query_id": pa.concat_arrays(query_ids),
+                "neighbour_id": pa.concat_arrays(neighbour_ids),
+                "search_score": pa.array(np.concatenate(values)),
             }
         )
 
@@ -177,18 +214,14 @@ def best_per_query(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _scored(index: DataFrame, probes: DataFrame, lists: Lists, k: int, exclude_self: bool) -> DataFrame:
-    """k best neighbours per query and pair of chunks, for the lists each query probes."""
-    spark = index.sparkSession
-    asked = {r["place"]: r["n"] for r in probes.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # One row per list, at most MAX_LISTS.
+def _scored(placed: DataFrame, probes: DataFrame, lists: Lists, k: int, exclude_self: bool) -> DataFrame:
+    """k best neighbours per query and pair of chunks, for the cells each query probes."""
+    asked = {r["cell"]: r["n"] for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # One row per cell that is probed, at most MAX_LISTS * RINGS.
     cuts = F.broadcast(
-        spark.createDataFrame(
-            [
-                (p, max(1, -(-int(lists.sizes[p]) // CHUNK)), max(1, -(-int(asked.get(p, 0)) // CHUNK)))
-                for p in range(len(lists.ids))
-            ],
-            "place int, index_chunks int, query_chunks int",
+        placed.sparkSession.createDataFrame(
+            [(cell, -(-int(lists.sizes[cell]) // CHUNK), -(-n // CHUNK)) for cell, n in asked.items()],
+            "cell int, index_chunks int, query_chunks int",
         )
     )
 
@@ -198,19 +231,19 @@ def _scored(index: DataFrame, probes: DataFrame, lists: Lists, k: int, exclude_s
     def every(chunks: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(chunks) - 1))
 
-    left = probes.join(cuts, "place").select(
-        "place", "query_id", "query_vector",
+    left = probes.join(cuts, "cell").select(
+        "cell", "query_id", "query_vector",
         chunk("query_id", "query_chunks").alias("query_chunk"), every("index_chunks").alias("index_chunk"),
     )
-    right = index.join(cuts, "place").select(
-        "place", "neighbour_id", "vector",
+    right = placed.join(cuts, "cell").select(
+        "cell", "neighbour_id", "vector",
         chunk("neighbour_id", "index_chunks").alias("index_chunk"), every("query_chunks").alias("query_chunk"),
     )
-    keys = ["place", "query_chunk", "index_chunk"]
+    keys = ["cell", "query_chunk", "index_chunk"]
     schema = T.StructType(
         [
             T.StructField("query_id", probes.schema["query_id"].dataType),
-            T.StructField("neighbour_id", index.schema["neighbour_id"].dataType),
+            T.StructField("neighbour_id", placed.schema["neighbour_id"].dataType),
             T.StructField("search_score", T.DoubleType()),
         ]
     )
@@ -218,15 +251,6 @@ def _scored(index: DataFrame, probes: DataFrame, lists: Lists, k: int, exclude_s
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
 
 
-def _placed(index: DataFrame, key: str, vector: str, list_id: str, lists: Lists) -> DataFrame:
-    """Index rows with the position of their list."""
-    schema = T.StructType([T.StructField(list_id, index.schema[list_id].dataType), T.StructField("place", T.IntegerType())])
-    places = index.sparkSession.createDataFrame(list(zip(lists.ids, range(len(lists.ids)))), schema)
-    return index.join(F.broadcast(places), list_id).select(
-        F.col(key).alias("neighbour_id"), F.col(vector).cast("array<double>").alias("vector"), "place"
-    )
-
-
 def knn_approximate(
     queries: DataFrame, index: DataFrame, key: str, vector: str, list_id: str,
     k: int = 5, probes: int = 3, exclude_self: bool = False,
@@ -235,25 +259,23 @@ def knn_approximate(
 
     Rows of the closest lists are all scored exactly; what lies in other lists is missed.
     """
-    lists = measure_lists(index, vector, list_id)
-    chosen = _choose_lists(queries, key, vector, lists, _nearest(probes))
-    scored = _scored(_placed(index, key, vector, list_id, lists), chosen, lists, k, exclude_self)
-    return best_per_query(scored, k)
+    placed, lists = place_in_lists(index, key, vector, list_id)
+    chosen = _choose_cells(queries, key, vector, lists, _nearest(lists, probes))
+    return best_per_query(_scored(placed, chosen, lists, k, exclude_self), k)
 
 
 def knn_exact(
     queries: DataFrame, index: DataFrame, key: str, vector: str, list_id: str, k: int = 5, exclude_self: bool = False
 ) -> DataFrame:
     """``(query_id, neighbour_id, search_score, rank)``: the true ``k`` best rows of each query."""
-    lists = measure_lists(index, vector, list_id)
-    placed = _placed(index, key, vector, list_id, lists)
-    near = _choose_lists(queries, key, vector, lists, _nearest(1))
+    placed, lists = place_in_lists(index, key, vector, list_id)
+    near = _choose_cells(queries, key, vector, lists, _nearest(lists, 1))
     first = written(best_per_query(_scored(placed, near, lists, k, exclude_self), k).drop("rank"), "knn-first")
     kth = first.groupBy(F.col("query_id").alias(key)).agg(
         F.when(F.count(F.lit(1)) >= k, F.min("search_score")).otherwise(-2.0).alias("kth")
     )
     bounded = queries.join(kth, key, "left").select(key, vector, F.coalesce("kth", F.lit(-2.0)).alias("kth"))
-    far = written(_choose_lists(bounded, key, vector, lists, _still_possible(lists), extra="kth"), "knn-far")
+    far = written(_choose_cells(bounded, key, vector, lists, _still_possible(lists), extra="kth"), "knn-far")
     second = _scored(placed, far, lists, k, exclude_self)
     return best_per_query(first.unionByName(second), k)
 

@@ -115,10 +115,15 @@ def key_quotes(tables, text: str) -> DataFrame:
     words = sorted({w for w in text.lower().split() if w.isalpha()})
     wanted = F.array(*[F.lit(w) for w in words])
     reviews = spread(tables.product_reviews("review_id", "product_name", "rating", "review_text"))
-    sentences = F.split(F.col("review_text"), SENTENCE_END)
+
+    def matches(sentence):
+        # Splitting into words is left out where no word occurs even as part of another.
+        some = F.lower(sentence).rlike("|".join(words))
+        return F.when(some, F.size(F.array_intersect(tokens(sentence), wanted))).otherwise(0)
+
     ranked = F.transform(
-        sentences,
-        lambda s, i: F.struct(F.size(F.array_intersect(tokens(s), wanted)).alias("matches"), (-i).alias("place"), F.trim(s).alias("quote")),
+        F.split(F.col("review_text"), SENTENCE_END),
+        lambda s, i: F.struct(matches(s).alias("matches"), (-i).alias("place"), F.trim(s).alias("quote")),
     )
     best = reviews.select("review_id", "product_name", "rating", F.array_max(ranked).alias("best"))
     return best.where(F.col("best.matches") > 0).select(

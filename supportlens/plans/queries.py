@@ -312,12 +312,11 @@ def _(t):
 @query("similar_tickets")
 def _(t):
     # Tickets that need attention, each with the finished tickets most like it.
-    texts = t.support_tickets("ticket_id", "category", "priority", "status", "description")
-    vectors = written(with_hashed_vector(spread(texts), "description"), "ticket-vectors")
     attention = (F.col("status") == "Escalated") | ((F.col("priority") == "Critical") & F.col("status").isin("Open", "In Progress"))
-    return vector_search.knn_exact(
-        vectors.where(attention), vectors.where(F.col("status").isin(FINISHED)), "ticket_id", "vector", "category", k=3
-    )
+    finished = F.col("status").isin(FINISHED)
+    texts = t.support_tickets("ticket_id", "category", "priority", "status", "description").where(attention | finished)
+    vectors = written(with_hashed_vector(spread(texts), "description"), "ticket-vectors")
+    return vector_search.knn_exact(vectors.where(attention), vectors.where(finished), "ticket_id", "vector", "category", k=3)
 
 
 @query("search_vector_topk")

@@ -139,15 +139,12 @@ def test_exact_neighbours_of_other_vectors(spark):
     assert pairs(found) == brute_neighbours(queries, vectors, 10, False)
 
 
-def test_second_round_skips_lists_that_are_too_far(spark):
+def test_second_round_skips_cells_that_are_too_far(spark):
     vectors, labels = clustered(400, 8, 0.4, 6)
-    lists = vector_search.measure_lists(frame(spark, vectors, labels), "v", "label")
-
-    class Batch:
-        def column(self, name):
-            return type("C", (), {"to_numpy": lambda self, **k: np.full(len(vectors), 0.9)})()
-
-    kept = vector_search._still_possible(lists)(vectors @ lists.centroids.T, Batch())
+    _, lists = vector_search.place_in_lists(frame(spark, vectors, labels), "id", "v", "label")
+    assert lists.sizes.sum() == 400
+    cosines = np.clip(vectors @ lists.centroids.T, -1, 1)
+    kept = vector_search._still_possible(lists)(cosines, np.full(400, 0.9))
     assert kept.sum() < kept.size / 3
 
 
@@ -176,7 +173,7 @@ def test_too_many_lists_are_refused(spark, monkeypatch):
     monkeypatch.setattr(vector_search, "MAX_LISTS", 3)
     vectors, _ = clustered(20, 4, 0.4, 1)
     with pytest.raises(ValueError):
-        vector_search.measure_lists(frame(spark, vectors, range(20)), "v", "label")
+        vector_search.place_in_lists(frame(spark, vectors, range(20)), "id", "v", "label")
 
 
 def test_routing(spark):
