@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,9 @@ from supportlens.functions.text import bind, log_tf, term_counts
 
 DIMENSIONS = 256
 
+# Tasks get these functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _scatter(places: pa.Array, weights: pa.Array) -> pa.Array:

@@ -92,14 +92,20 @@ def _matching(index: TextIndex, terms: list[str]) -> DataFrame:
     return index.postings.join(wanted, "term", "left_semi")
 
 
-def scores(index: TextIndex, text: str) -> DataFrame:
-    """``(key, search_score)`` of every document that shares a weighted term with the text."""
+def scores(index: TextIndex, text: str, candidates: DataFrame | None = None) -> DataFrame:
+    """``(key, search_score)`` of every document that shares a weighted term with the text.
+
+    ``candidates`` restricts the documents before they are scored; document
+    frequencies are those of the whole index.
+    """
     weights = query_weights(index, text)
     if not weights:
         return index.vectors.select(index.key, F.lit(0.0).alias("search_score")).where(F.lit(False))
     # One row per query term: bounded by the query text.
     table = index.spark.createDataFrame(list(weights.items()), "term string, query_weight double")
     matched = _matching(index, list(weights)).join(F.broadcast(table), "term")
+    if candidates is not None:
+        matched = matched.join(candidates.select(index.key), index.key, "left_semi")
     return matched.groupBy(index.key).agg(
         F.round(F.sum(F.col("weight") * F.col("query_weight")), DIGITS).alias("search_score")
     )
@@ -117,9 +123,7 @@ def search(
     ``candidates`` (a table holding the key) restricts the search before the cut;
     ``source`` adds its columns to the hits.
     """
-    found = scores(index, text)
-    if candidates is not None:
-        found = found.join(candidates.select(index.key), index.key, "left_semi")
+    found = scores(index, text, candidates)
     hits = top_k(found, index.key, num_results)
     if source is None:
         return hits

@@ -12,10 +12,12 @@ angles, is lower; the remaining cells are probed in a second round.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +36,9 @@ DIGITS = 6
 # Scores are compared after rounding; bounds get this much slack.
 SLACK = 2e-6
 
+# Tasks get these functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def mean_vector(vectors: DataFrame, vector: str) -> list[float]:
     """Mean of all vectors: as many numbers as the vector has dimensions."""
@@ -75,6 +80,19 @@ def _centroids(index: DataFrame, vector: str, list_id: str) -> tuple[list, np.nd
     return [r[list_id] for r in found], centroids / np.linalg.norm(centroids, axis=1, keepdims=True)
 
 
+def _angles(centroids: np.ndarray):
+    """Adds each vector's angle to the centroid of its list."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = _matrix(batch.column("vector"), centroids.shape[1])
+            place = batch.column("place").to_numpy(zero_copy_only=False)
+            angle = np.arccos(np.clip(np.einsum("ij,ij->i", vectors, centroids[place]), -1.0, 1.0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(angle)], names=[*batch.schema.names, "angle"])
+
+    return measure
+
+
 def place_in_lists(index: DataFrame, key: str, vector: str, list_id: str) -> tuple[DataFrame, Lists]:
     """The index as ``(neighbour_id, vector, cell)`` with the measures of its lists.
 
@@ -83,20 +101,13 @@ def place_in_lists(index: DataFrame, key: str, vector: str, list_id: str) -> tup
     """
     spark = index.sparkSession
     ids, centroids = _centroids(index, vector, list_id)
-    schema = T.StructType(
-        [
-            T.StructField(list_id, index.schema[list_id].dataType),
-            T.StructField("place", T.IntegerType()),
-            T.StructField("centroid", T.ArrayType(T.DoubleType())),
-        ]
-    )
+    schema = T.StructType([T.StructField(list_id, index.schema[list_id].dataType), T.StructField("place", T.IntegerType())])
     # At most MAX_LISTS rows.
-    table = spark.createDataFrame([(v, i, [float(x) for x in centroids[i]]) for i, v in enumerate(ids)], schema)
-    cosine = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot(F.col("vector"), F.col("centroid"))))
+    places = F.broadcast(spark.createDataFrame([(v, i) for i, v in enumerate(ids)], schema))
+    listed = index.select(F.col(key).alias("neighbour_id"), F.col(vector).cast("array<double>").alias("vector"), list_id)
+    listed = listed.join(places, list_id).select("neighbour_id", "vector", "place")
     angled = written(
-        index.select(F.col(key).alias("neighbour_id"), F.col(vector).cast("array<double>").alias("vector"), list_id)
-        .join(F.broadcast(table), list_id)
-        .select("neighbour_id", "vector", "place", F.acos(cosine).alias("angle")),
+        listed.mapInArrow(_angles(centroids), T.StructType([*listed.schema, T.StructField("angle", T.DoubleType())])),
         "knn-index",
     )
     reach = angled.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
@@ -178,6 +189,21 @@ def _still_possible(lists: Lists):
     return choose
 
 
+def _best_places(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and value of the ``k`` largest finite scores of each row; left columns win ties."""
+    if scores.shape[1] > k:
+        least = np.partition(scores, -k, axis=1)[:, -k]
+        row, place = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
+    else:
+        row, place = np.nonzero(np.isfinite(scores))
+    value = scores[row, place]
+    order = np.lexsort((place, -value, row))
+    row, place, value = row[order], place[order], value[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    kept = rank < k
+    return row[kept], place[kept], value[kept]
+
+
 def _score_chunks(k: int, dims: int, exclude_self: bool):
     def score(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("neighbour_id")
@@ -190,13 +216,10 @@ def _score_chunks(k: int, dims: int, exclude_self: bool):
             found = np.round(_matrix(part.column("query_vector"), dims) @ index.T, DIGITS)
             if exclude_self:
                 found[ids.to_numpy(zero_copy_only=False)[:, None] == keys.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
-            # Stable sort on rows ordered by key: equal scores keep the smaller key.
-            best = np.argsort(-found, axis=1, kind="stable")[:, :k]
-            value = np.take_along_axis(found, best, axis=1).ravel()
-            kept = np.isfinite(value)
-            query_ids.append(ids.take(pa.array(np.repeat(np.arange(len(ids)), best.shape[1])[kept])))
-            neighbour_ids.append(keys.take(pa.array(best.ravel()[kept])))
-            values.append(value[kept])
+            row, place, value = _best_places(found, k)
+            query_ids.append(ids.take(pa.array(row)))
+            neighbour_ids.append(keys.take(pa.array(place)))
+            values.append(value)
         return pa.table(
             {
                 "query_id": pa.concat_arrays(query_ids),
