@@ -23,6 +23,7 @@ from supportlens.functions.text import counts_norm, log_tf, term_counts, token_t
 from supportlens.session import spread
 
 DIGITS = 6
+POSTINGS_PER_FILE = 20_000_000
 
 
 def text_vectors(docs: DataFrame, text: str) -> DataFrame:
@@ -59,13 +60,21 @@ class TextIndex:
         return self.spark.read.parquet(f"{self.path}/postings")
 
 
+def write_postings(vectors: DataFrame, key: str, path: str) -> None:
+    """Write the postings of stored vectors, in as many files as their number asks for."""
+    spark = vectors.sparkSession
+    total = vectors.agg(F.sum("n_terms").alias("n")).first()["n"] or 0
+    files = max(spark.sparkContext.defaultParallelism, -(-total // POSTINGS_PER_FILE))
+    ranged = postings_of(vectors, key).repartitionByRange(files, "term", key)
+    ranged.sortWithinPartitions("term", key).write.parquet(f"{path}/postings")
+
+
 def write_index(docs: DataFrame, key: str, text: str, path: str) -> TextIndex:
     """Build the index of ``docs[text]`` under ``path``."""
-    spark = docs.sparkSession
+    index = TextIndex(docs.sparkSession, path, key)
     text_vectors(spread(docs), text).write.parquet(f"{path}/vectors")
-    postings = postings_of(spark.read.parquet(f"{path}/vectors"), key)
-    postings.repartitionByRange("term", key).sortWithinPartitions("term", key).write.parquet(f"{path}/postings")
-    return TextIndex(spark, path, key)
+    write_postings(index.vectors, key, path)
+    return index
 
 
 def query_terms(spark: SparkSession, text: str) -> dict[str, int]:
@@ -130,8 +139,7 @@ def search(
     if num_results <= MAX_INLINE:
         # A bounded list of keys: the scan of the source prunes with it.
         best = hits.collect()
-        hits = index.spark.createDataFrame(best, found.schema)
+        hits = F.broadcast(index.spark.createDataFrame(best, found.schema))
         source = source.where(F.col(index.key).isin([row[index.key] for row in best]))
-    # At most num_results rows.
-    with_columns = source.join(F.broadcast(hits), index.key)
+    with_columns = source.join(hits, index.key)
     return with_columns.select("search_score", *source.columns).orderBy(F.desc("search_score"), index.key)

@@ -154,7 +154,7 @@ def frustrated_customers(tables, index: TextIndex, text: str, category: str = "I
     )
     profiles = tables.customers("customer_id", "company_name", "churn_risk_score")
     return (
-        profiles.join(F.broadcast(found), "customer_id")
+        profiles.join(found, "customer_id")
         .join(reviews, "customer_id", "left")
         .withColumn("n_reviews", F.coalesce("n_reviews", F.lit(0)))
     )

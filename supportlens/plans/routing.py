@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from supportlens.functions.text import counts_norm, log_tf, term_counts
 
 DIGITS = 6
+# The terms of the descriptions are broadcast.
+MAX_TOOLS = 1000
 
 
 def route_questions(questions: DataFrame, keys: list[str], text: str, descriptions: DataFrame) -> DataFrame:
@@ -20,6 +22,8 @@ def route_questions(questions: DataFrame, keys: list[str], text: str, descriptio
     counted = descriptions.select("tool", term_counts(F.col("comment")).alias("counts"))
     counted = counted.select("tool", counts_norm(F.col("counts")).alias("norm"), "counts")
     n_tools = descriptions.count()
+    if n_tools > MAX_TOOLS:
+        raise ValueError(f"more than {MAX_TOOLS} descriptions")
     terms = (
         counted.select("tool", "norm", F.explode("counts").alias("c"))
         .groupBy(F.col("c.term").alias("term"))

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from supportlens.operators.change_feed import AFTER, DELETE, INSERT
-from supportlens.operators.text_index import text_vectors
+from supportlens.operators.text_index import TextIndex, text_vectors, write_postings
 from supportlens.session import spread
 
 
@@ -47,6 +47,14 @@ def compact(spark: SparkSession, path: str, key: str, target: str) -> None:
     rows.write.mode("overwrite").parquet(f"{target}/version=0")
 
 
+def publish(spark: SparkSession, path: str, key: str, target: str) -> TextIndex:
+    """Make the current state searchable: an index folder for ``text_index.search``."""
+    index = TextIndex(spark, target, key)
+    current(spark, path, key).drop("version").write.parquet(f"{target}/vectors")
+    write_postings(index.vectors, key, target)
+    return index
+
+
 def write_changes(feed: DataFrame, key: str, text: str, path: str, version: int) -> None:
     """Index a change feed: new states become rows, deletions become tombstones."""
     changes = feed.where(F.col("_change_type").isin(INSERT, AFTER, DELETE))

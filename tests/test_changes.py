@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from supportlens.operators.change_feed import apply_changes, change_feed
-from supportlens.operators.text_index import text_vectors
+from supportlens.operators.text_index import search, text_vectors, write_index
 from supportlens.session import new_dir, shared_dir, stored, written
 from supportlens.sources import storage
 from supportlens.streaming import index_sync
@@ -63,6 +63,18 @@ def test_changes_update_the_index(spark, snapshots):
     assert spark.read.parquet(smaller).count() == new.count()
 
 
+def test_published_index_is_searchable(spark, snapshots):
+    old, new = snapshots
+    path = new_dir(spark, "versions")
+    index_sync.write_version(old, "id", "text", path, 0)
+    index_sync.write_changes(change_feed(old, new, "id"), "id", "text", path, 1)
+    synced = index_sync.publish(spark, path, "id", new_dir(spark, "published"))
+    built = write_index(new.select("id", "text"), "id", "text", new_dir(spark, "built"))
+    for query in ("fresh filled", "gone", "same same kept"):
+        assert as_set(search(synced, query, 5)) == as_set(search(built, query, 5))
+    assert [r.id for r in search(synced, "fresh", 5, source=new).collect()] == [5]
+
+
 def test_increments_equal_one_batch(spark):
     rows = [(i, f"word{chr(97 + i % 7)} text", 0) for i in range(40)]
     updates = [(i, "changed completely now", 1) for i in range(0, 40, 3)]

@@ -92,6 +92,13 @@ def test_a_text_finds_itself(spark, index, corpus):
     assert best.id == 17 and best.body == corpus[17]
 
 
+def test_more_results_than_fit_a_list_of_keys(spark, index, corpus, monkeypatch):
+    source = spark.createDataFrame(list(corpus.items()), "id bigint, body string")
+    short = [tuple(r) for r in text_index.search(index, "waa hot", 8, source=source).collect()]
+    monkeypatch.setattr(text_index, "MAX_INLINE", 4)
+    assert [tuple(r) for r in text_index.search(index, "waa hot", 8, source=source).collect()] == short
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
