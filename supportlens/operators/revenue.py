@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supportlens.functions.expressions import UNPAID, mean, rows, total
 from supportlens.functions.params import ListParam, keep_listed
 
 TOP_UNPAID = 50
+# Orders that may be broadcast.
+FEW = 10_000
 UNPAID_COLUMNS = [
     "order_id", "customer_id", "company_name", "product_name", "amount", "order_date", "payment_status", "plan_tier",
 ]
@@ -29,32 +31,35 @@ def revenue_by_plan_tier(tables) -> DataFrame:
     )
 
 
-def unpaid_orders(tables) -> DataFrame:
+def unpaid_orders(tables, only: Column | None = None, few: bool = False) -> DataFrame:
     """Orders whose payment is overdue or pending, with the customer's name and plan."""
-    orders = tables.purchases("order_id", "customer_id", "product_name", "amount", "order_date", "payment_status")
-    return (
-        orders.where(F.col("payment_status").isin(UNPAID))
-        .join(tables.customers("customer_id", "company_name", "plan_tier"), "customer_id")
-        .select(*UNPAID_COLUMNS)
+    unpaid = F.col("payment_status").isin(UNPAID)
+    orders = tables.purchases(
+        "order_id", "customer_id", "product_name", "amount", "order_date", "payment_status",
+        only=unpaid if only is None else unpaid & only, few=few,
     )
+    return orders.join(tables.customers("customer_id", "company_name", "plan_tier"), "customer_id").select(*UNPAID_COLUMNS)
 
 
 def overdue_payments(tables, limit: int | None = TOP_UNPAID) -> DataFrame:
     """The largest unpaid orders. Order ids may repeat, so ties are cut by all columns.
 
     The smallest amount that can make the list is read from the orders alone, so the
-    joins see only the few orders at or above it. Should some of those have no
-    customer, the list would come out short, and all unpaid orders are joined instead.
+    joins see only the few orders at or above it, and broadcast those if counting
+    shows that they are few. Should some of them have no customer, the list would
+    come out short, and all unpaid orders are joined instead.
     """
-    chosen = unpaid_orders(tables)
     if limit is None:
-        return chosen
-    amounts = tables.purchases("payment_status", "amount").where(F.col("payment_status").isin(UNPAID))
+        return unpaid_orders(tables)
+    chosen = None
+    amounts = tables.purchases("amount", only=F.col("payment_status").isin(UNPAID))
     largest = amounts.orderBy(F.desc("amount")).limit(limit).agg(F.min("amount").alias("least"), rows().alias("n")).first()
     if largest["n"] == limit:
-        enough = chosen.where(F.col("amount") >= largest["least"])
+        high = F.col("amount") >= largest["least"]
+        enough = unpaid_orders(tables, only=high, few=amounts.where(high).count() <= FEW)
         if enough.count() >= limit:
             chosen = enough
+    chosen = unpaid_orders(tables) if chosen is None else chosen
     ties = [c for c in UNPAID_COLUMNS if c != "amount"]
     return chosen.orderBy(F.desc("amount"), *ties).limit(limit)
 

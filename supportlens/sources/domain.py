@@ -83,8 +83,12 @@ class FrameTables:
     def support_tickets(self, *columns: str) -> DataFrame:
         return self._table("support_tickets", columns)
 
-    def purchases(self, *columns: str) -> DataFrame:
-        return self._table("purchases", columns)
+    def purchases(self, *columns: str, only: Column | None = None, few: bool = False) -> DataFrame:
+        """Orders, or those where ``only`` holds; ``few`` says that they are known to fit a broadcast."""
+        df = self._frames["purchases"]
+        df = df if only is None else df.where(only)
+        df = df.select(*columns) if columns else df
+        return F.broadcast(df) if few else df
 
     def customer_interactions(self, *columns: str) -> DataFrame:
         return self._table("customer_interactions", columns)
@@ -162,25 +166,33 @@ class StarTables:
         }
         return self._project(self.raw("part"), derived, columns)
 
-    def purchases(self, *columns: str) -> DataFrame:
-        derived = {
+    def purchases(self, *columns: str, only: Column | None = None, few: bool = False) -> DataFrame:
+        """Order lines with customer and product.
+
+        ``only`` is a condition on columns of the line itself and holds before any
+        join; ``few`` says that the remaining lines are known to fit a broadcast.
+        """
+        line = {
             "order_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-            "customer_id": F.col("o_custkey"),
             "product_id": F.col("l_partkey"),
-            "product_name": F.col("p_name"),
-            "order_date": F.col("o_orderdate"),
             "amount": F.col("l_extendedprice"),
             "discount_percent": F.round(F.col("l_discount") * 100).cast("int"),
             "order_type": pick(ORDER_TYPES, F.col("l_linenumber") % 4),
             "payment_status": steps(F.col("l_orderkey") % 100, [80, 90, 97], PAYMENT_STATUSES),
         }
-        wanted = set(columns or derived)
-        df = self.raw("lineitem")
-        if wanted & {"customer_id", "order_date"}:
-            df = df.join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        if "product_name" in wanted:
-            df = df.join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
-        return self._project(df, derived, columns)
+        looked_up = {"customer_id": F.col("o_custkey"), "order_date": F.col("o_orderdate"), "product_name": F.col("p_name")}
+        columns = columns or (*line, *looked_up)
+        df = self.raw("lineitem").select("l_orderkey", "l_partkey", *[c.alias(name) for name, c in line.items()])
+        df = df if only is None else df.where(only)
+
+        def side(lines: DataFrame) -> DataFrame:
+            return F.broadcast(lines) if few else lines
+
+        if {"customer_id", "order_date"} & set(columns):
+            df = side(df).join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        if "product_name" in columns:
+            df = side(df).join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
+        return side(df.select(*[looked_up[name].alias(name) if name in looked_up else name for name in columns]))
 
     def support_tickets(self, *columns: str) -> DataFrame:
         e = F.col("event_id")

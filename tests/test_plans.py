@@ -51,6 +51,15 @@ def test_details_are_looked_up_for_the_chosen_customers_only(star):
     assert orders and all("In(o_custkey" in part for part in orders)
 
 
+def test_unpaid_list_joins_a_handful_of_orders_without_a_shuffle(spark, star):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = plan_of(revenue.overdue_payments(star)).split("\n\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in tree and "BroadcastHashJoin" in tree
+
+
 def test_ids_reach_both_sides_of_the_engagement_join(star):
     plan = plan_of(customer.customer_engagement(star, "[3]"))
     assert plan.count("EqualTo(user_id,3)") + plan.count("In(user_id, [3])") >= 2
