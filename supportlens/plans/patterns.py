@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from supportlens.functions.expressions import percent, rounded, rows
@@ -14,6 +14,15 @@ SENTENCE_END = r"[.!?\n]+"
 HITS = 50
 
 
+def each(df: DataFrame, elements: Column, name: str, *others: str) -> DataFrame:
+    """One row per element of an array that is costly to compute.
+
+    A plain explode would compute it a second time, in the filter Spark derives to
+    drop empty arrays early.
+    """
+    return df.select(*others, F.explode_outer(elements).alias(name)).where(F.col(name).isNotNull())
+
+
 def ticket_hits(tables, index: TextIndex, text: str, num_results: int = HITS) -> DataFrame:
     source = tables.support_tickets("ticket_id", "customer_id", "category", "priority", "status")
     return search(index, text, num_results, source=source)
@@ -49,7 +58,7 @@ def error_patterns(tables) -> DataFrame:
         F.concat(F.regexp_extract_all(text, F.lit("([A-Z]+-[0-9]+)")), F.regexp_extract_all(text, F.lit('("[^"]+")')))
     )
     per_customer = (
-        tickets.select("customer_id", F.explode(found).alias("pattern"))
+        each(tickets, found, "pattern", "customer_id")
         .groupBy("pattern", "customer_id")
         .agg(rows().alias("n"))
     )
@@ -60,12 +69,12 @@ def review_themes(tables, min_customers: int = 2, limit: int | None = 100) -> Da
     """Word pairs that several customers mention, most customers first."""
     reviews = spread(tables.product_reviews("customer_id", "review_text"))
 
-    def pairs(words):
-        both = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-        return F.array_distinct(both)
+    def pairs(words: Column) -> Column:
+        followed = F.transform(words, lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
+        return F.array_distinct(F.filter(followed, lambda pair: pair.isNotNull()))
 
     themes = (
-        reviews.select("customer_id", F.explode(bind(tokens(F.col("review_text")), pairs)).alias("theme"))
+        each(reviews, bind(tokens(F.col("review_text")), pairs), "theme", "customer_id")
         .groupBy("theme", "customer_id")
         .agg(rows().alias("n"))
         .groupBy("theme")
@@ -125,8 +134,8 @@ def key_quotes(tables, text: str) -> DataFrame:
         F.split(F.col("review_text"), SENTENCE_END),
         lambda s, i: F.struct(matches(s).alias("matches"), (-i).alias("place"), F.trim(s).alias("quote")),
     )
-    best = reviews.select("review_id", "product_name", "rating", F.array_max(ranked).alias("best"))
-    return best.where(F.col("best.matches") > 0).select(
+    best = F.filter(F.array(F.array_max(ranked)), lambda b: b["matches"] > 0)
+    return each(reviews, best, "best", "review_id", "product_name", "rating").select(
         "review_id", "product_name", "rating", F.col("best.matches").alias("matches"), F.col("best.quote").alias("quote")
     )
 

@@ -36,7 +36,7 @@ def route_questions(questions: DataFrame, keys: list[str], text: str, descriptio
     # The empty name carries the squared length of the question, counted once per term.
     length_entry = F.struct(F.lit("").alias("tool"), F.col("_asked").alias("weight"))
     matched = (
-        questions.select(*keys, F.explode(term_counts(F.col(text))).alias("_c"))
+        questions.select(*keys, F.explode_outer(term_counts(F.col(text))).alias("_c"))
         .select(*keys, F.col("_c.term").alias("term"), log_tf(F.col("_c.tf")).alias("_tf"))
         .join(F.broadcast(terms), "term")
         .select(*keys, (F.col("_tf") * F.col("idf")).alias("_asked"), "tools")
