@@ -505,12 +505,11 @@ def _(t):
 
 @query("derive_discount")
 def _(t):
-    sold = t.purchases("order_id", "product_id", "discount_percent").join(t.products("product_id", "price"), "product_id")
+    # A price belongs to a product, so order lines are counted before the product join.
+    sold = t.purchases("product_id", "discount_percent").groupBy("product_id", "discount_percent").agg(rows().alias("orders"))
     price = derive.discounted(F.col("price"), F.col("discount_percent"))
-    return (
-        sold.select("product_id", "discount_percent", price.alias("discounted_price"))
-        .groupBy("product_id", "discount_percent", "discounted_price")
-        .agg(rows().alias("orders"))
+    return sold.join(t.products("product_id", "price"), "product_id").select(
+        "product_id", "discount_percent", price.alias("discounted_price"), "orders"
     )
 
 

@@ -24,7 +24,7 @@ class Tool:
     area: str
     comment: str
     call: Callable[..., DataFrame]
-    # The relation behind the SQL function and the text that follows its SELECT list.
+    # The lazy relation behind the SQL function, and the text that follows it in the function's body.
     relation: Callable[..., DataFrame]
     tail: str = ""
     params: dict[str, str] = field(default_factory=dict)
@@ -131,7 +131,9 @@ TOOLS = [
     ),
     Tool(
         "get_overdue_payments", "revenue", "The 50 largest orders with an overdue or pending payment, with customer and plan.",
-        revenue.overdue_payments, revenue.overdue_payments, sources=("purchases", "customers"),
+        revenue.overdue_payments, revenue.unpaid_orders,
+        f"ORDER BY amount DESC, {', '.join(c for c in revenue.UNPAID_COLUMNS if c != 'amount')} LIMIT {revenue.TOP_UNPAID}",
+        sources=("purchases", "customers"),
     ),
     Tool(
         "get_order_trends_by_type", "revenue",
@@ -163,11 +165,14 @@ def register_sql(tables, names: list[str] | None = None) -> None:
     spark = tables.spark
     register_views(tables)
     for tool in [BY_NAME[n] for n in names] if names else TOOLS:
-        tool.relation(tables).createOrReplaceTempView(tool.view)
+        relation = tool.relation(tables)
+        relation.createOrReplaceTempView(tool.view)
         body = tool.body.format(view=tool.view) or f"SELECT * FROM {tool.view} {tool.tail}".strip()
-        # Called with neutral values only to learn the output columns; nothing runs.
-        neutral = {name: 0.0 if kind == "DOUBLE" else "[]" for name, kind in tool.params.items()}
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tool.call(tables, **neutral).schema)
+        schema = relation.schema
+        if tool.body:
+            # Called with neutral values only to learn the output columns; nothing runs.
+            schema = tool.call(tables, **{name: 0.0 if kind == "DOUBLE" else "[]" for name, kind in tool.params.items()}).schema
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         params = ", ".join(f"{name} {kind}" for name, kind in tool.params.items())
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {tool.name}({params}) "
