@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from supportlens.oracle.sql import ORACLES
+from supportlens.plans.queries import QUERIES
 from tests.check import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="session")
@@ -26,6 +27,11 @@ def test_every_sql_has_a_query():
     assert set(QUERIES) - set(ORACLES) == {"search_lsh"}
 
 
+def test_registry_holds_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_has_rows(spark):
     df = entry.entry(spark)
     assert df.columns == [
