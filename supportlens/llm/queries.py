@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from supportlens.llm import exact
+from supportlens.llm import exact, language, mixing, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_warc")
+def op1(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+@query("op4_simhash")
+def op4(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def with_fold(docs: DataFrame, folds: int, held: int) -> DataFrame:
+    """``docs`` with ``held_out``: whether the CRC-32 of the id leaves this remainder. A null id isn't held out."""
+    return docs.withColumn("held_out", F.coalesce(language.crc(F.col("doc_id")) % folds == held, F.lit(False)))
+
+
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), 3, 1)
+    model = language.train(docs.filter("NOT held_out AND doc_id IS NOT NULL"))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+def of_pattern(plan: mixing.Mix, name: str, kind: str):
+    """A figure of a document's source, where each document has one source."""
+    figures = {s["source"]: s[name] for s in plan.sources}
+    return F.element_at(F.array(*[F.lit(figures[p[0]]).cast(kind) for p in plan.patterns]), F.col("_llm_pattern") + 1)
+
+
+@query("op8_mixing")
+def op8(spark, sf_dir):
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents"), F.array("source"))
+    if not plan.patterns:
+        return plan.marked.selectExpr("doc_id", "_llm_size AS size", "0L AS source_size", "0D AS target", "0L AS taken")
+    return plan.marked.select(
+        "doc_id", F.col("_llm_size").alias("size"), of_pattern(plan, "size", "long").alias("source_size"),
+        of_pattern(plan, "target", "double").alias("target"), (F.col("_llm_size") * F.col("_llm_copies")).alias("taken"),
+    )
+
+
 @query("op10_exact_dedup")
 def op10(spark, sf_dir):
     found = exact.exact_duplicates(table(spark, sf_dir, "documents"))
