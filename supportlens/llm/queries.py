@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens.llm import exact, language, mixing, simhash, warc
+from supportlens.llm import chat, exact, language, lm, mixing, packing, simhash, tokens, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +31,20 @@ def op1(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+@query("op2_chat_roles")
+def op2(spark, sf_dir):
+    talks = chat.transcribed(table(spark, sf_dir, "conversations"))
+    talks = talks.withColumn("held_out", F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 7 == 2, F.lit(False)))
+    model = chat.train(talks.filter("NOT held_out AND conv_id IS NOT NULL"))
+    return chat.parse(talks, model).select("conv_id", "part", "style", "held_out", "n_turns", "roles", "canonical")
+
+
+@query("op3_multi_index")
+def op3(spark, sf_dir):
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 @query("op4_simhash")
 def op4(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -48,6 +63,17 @@ def op5(spark, sf_dir):
     return language.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+@query("op6_token_counts")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_packing")
+def op7(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def of_pattern(plan: mixing.Mix, name: str, kind: str):
     """A figure of a document's source, where each document has one source."""
     figures = {s["source"]: s[name] for s in plan.sources}
@@ -65,6 +91,14 @@ def op8(spark, sf_dir):
     )
 
 
+@query("op9_lm_scoring")
+def op9(spark, sf_dir):
+    docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text"), 7, 2)
+    model = lm.train(docs.filter("NOT held_out AND doc_id IS NOT NULL"))
+    found = lm.score(table(spark, sf_dir, "documents"), model)
+    return with_fold(found, 7, 2).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op10_exact_dedup")
 def op10(spark, sf_dir):
     found = exact.exact_duplicates(table(spark, sf_dir, "documents"))

@@ -31,6 +31,6 @@ def _with_metadata(df: DataFrame) -> DataFrame:
     return df.select("*", F.xxhash64(meta["file_path"]).alias(FILE), meta["row_index"].alias(AT))
 
 
-def only_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
-    """The rows of an ``identified`` table whose identity is in ``keep``, with the input's own columns."""
-    return docs.join(keep.select(*ROW), list(ROW), "left_semi").drop(*ROW)
+def without_rows(docs: DataFrame, drop: DataFrame) -> DataFrame:
+    """The rows of an ``identified`` table whose identity isn't in ``drop``, with the input's own columns."""
+    return docs.join(drop.select(*ROW), list(ROW), "left_anti").drop(*ROW)
