@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -62,13 +63,18 @@ def timed(build) -> float:
 
 
 def main() -> None:
+    with tempfile.TemporaryDirectory(prefix="bench-") as shared:
+        run(shared)
+
+
+def run(shared: str) -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
     spark = build_session(**{
         "spark.master": f"local[{cpus}]", "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
-        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("OFF")
     times = {}

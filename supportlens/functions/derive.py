@@ -33,8 +33,13 @@ def stated_rating(text: Column, given: Column) -> Column:
     return F.coalesce(*[F.when(text.contains(f"{n}/5"), F.lit(n)) for n in range(5, 0, -1)], given)
 
 
-def discounted(price: Column, percent: Column) -> Column:
-    return rounded(price * (100 - percent) / 100, 2)
+def discounted(price: Column, rate: Column) -> Column:
+    return rounded(price * (1 - rate), 2)
+
+
+def whole_percent(rate: Column) -> Column:
+    """The discount of an order in whole percent, cut off, not rounded."""
+    return (rate * 100).cast("int")
 
 
 def tenure_months(start: Column, today: Column) -> Column:

@@ -103,14 +103,13 @@ def null_rule_check(tables) -> DataFrame:
 def accepted_values(tables) -> DataFrame:
     """Every value of the enumerated columns with its count and whether it is a known one."""
     parts = []
-    for table, column, known in ENUMERATED:
-        counted = getattr(tables, table)(column).groupBy(column).agg(rows().alias("n_rows"))
-        parts.append(
-            counted.select(
-                F.lit(f"{table}.{column}").alias("column_name"),
-                F.col(column).alias("value"),
-                "n_rows",
-                F.col(column).isin(known).alias("accepted"),
-            )
-        )
+    for table in dict.fromkeys(t for t, *_ in ENUMERATED):
+        mine = {column: known for t, column, known in ENUMERATED if t == table}
+        # One pass per table: a row becomes one entry per column, counted before the shuffle.
+        entries = F.array(*[F.struct(F.lit(column).alias("column"), F.col(column).alias("value")) for column in mine])
+        listed = getattr(tables, table)(*mine).select(F.explode(entries).alias("e")).groupBy("e.column", "e.value").agg(rows().alias("n_rows"))
+        accepted = F.lit(None).cast("boolean")
+        for column, known in mine.items():
+            accepted = F.when(F.col("column") == column, F.col("value").isin(known)).otherwise(accepted)
+        parts.append(listed.select(F.concat(F.lit(f"{table}."), "column").alias("column_name"), "value", "n_rows", accepted.alias("accepted")))
     return union_all(parts)

@@ -27,10 +27,17 @@ def valid_values(tables, lookup: str) -> DataFrame:
 
 def all_valid_values(tables) -> DataFrame:
     """``(parameter, value)`` of every lookup."""
-    parts = [
-        getattr(tables, table)(column).distinct().select(F.lit(parameter).alias("parameter"), F.col(column).alias("value"))
-        for table, column, parameter in LOOKUPS.values()
-    ]
+    return distinct_values(tables, list(LOOKUPS.values()))
+
+
+def distinct_values(tables, wanted: list[tuple[str, str, str]]) -> DataFrame:
+    """Distinct ``(parameter, value)`` of ``(table, column, parameter)`` entries, in one pass per table."""
+    parts = []
+    for table in dict.fromkeys(t for t, *_ in wanted):
+        mine = [(column, parameter) for t, column, parameter in wanted if t == table]
+        entries = F.array(*[F.struct(F.lit(parameter).alias("parameter"), F.col(column).alias("value")) for column, parameter in mine])
+        source = getattr(tables, table)(*dict.fromkeys(column for column, _ in mine))
+        parts.append(source.select(F.explode(entries).alias("e")).select("e.parameter", "e.value").distinct())
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -25,12 +25,13 @@ def product_defect_rates(tables, categories: ListParam) -> DataFrame:
 def product_revenue(tables) -> DataFrame:
     """Orders, revenue and discount per product, best seller first.
 
-    Order rows are reduced to one per product before the product table is joined,
-    so the join never sees a hot product; the name is the product table's own.
+    Order rows are reduced to one per product and name before the product table is
+    joined, so the join never sees a hot product. The name is the order's own: an order
+    keeps the name its product had then.
     """
     sold = (
-        tables.purchases("product_id", "amount", "discount_percent")
-        .groupBy("product_id")
+        tables.purchases("product_id", "product_name", "amount", "discount_percent")
+        .groupBy("product_id", "product_name")
         .agg(
             rows().alias("total_orders"),
             F.sum("amount").alias("revenue"),
@@ -39,17 +40,17 @@ def product_revenue(tables) -> DataFrame:
         )
     )
     return (
-        sold.join(tables.products("product_id", "name", "category"), "product_id")
+        sold.join(tables.products("product_id", "category"), "product_id")
         .select(
             "product_id",
-            F.col("name").alias("product_name"),
+            "product_name",
             "category",
             "total_orders",
             rounded(F.col("revenue"), 2).alias("total_revenue"),
             rounded(F.col("order_value"), 2).alias("avg_order_value"),
             rounded(F.col("discount"), 1).alias("avg_discount_pct"),
         )
-        .orderBy(F.desc("total_revenue"), "product_id")
+        .orderBy(F.desc("total_revenue"), "product_id", "product_name")
     )
 
 
@@ -80,18 +81,18 @@ def ticket_weight(tables) -> DataFrame:
 def buyers(tables, only: DataFrame) -> DataFrame:
     """Number of orders per customer and product name and category, for some customers.
 
-    ``only`` holds one row per customer; its other columns are carried along. The
-    customers are chosen first: what is left is reduced to one row per customer and
-    product before it meets the product table, where a product may be hot.
+    ``only`` holds one row per customer; its other columns are carried along. Order
+    lines are reduced to one per customer and product before they meet the customers or
+    the product table, where either may be hot; only those keys are shuffled.
     """
-    carried = [c for c in only.columns if c != "customer_id"]
-    bought = tables.purchases("customer_id", "product_id").join(only, "customer_id")
-    per_product = bought.groupBy("customer_id", "product_id", *carried).agg(rows().alias("orders"))
-    return (
-        per_product.join(tables.products("product_id", "name", "category"), "product_id")
-        .groupBy("customer_id", F.col("name").alias("product_name"), "category", *carried)
+    lines = tables.purchases("customer_id", "product_id", "product_name")
+    bought = lines.groupBy("customer_id", "product_id", "product_name").agg(rows().alias("orders"))
+    named = (
+        bought.join(tables.products("product_id", "category"), "product_id")
+        .groupBy("customer_id", "product_name", "category")
         .agg(F.sum("orders").alias("orders"))
     )
+    return named.join(only, "customer_id").select("customer_id", "product_name", "category", *[c for c in only.columns if c != "customer_id"], "orders")
 
 
 def correlation_metrics(tables, repeat_orders: bool = True) -> DataFrame:

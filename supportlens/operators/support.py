@@ -88,10 +88,15 @@ def sla_flags(max_first_response: str, max_resolution: str) -> dict[str, str]:
     }
 
 
-def sla_breach_summary(tables, max_first_response_min: float, max_resolution_hours: float) -> DataFrame:
+def number(value: float | None) -> str:
+    """SQL text of a double; a missing, infinite or undefined one is what it is in SQL."""
+    return "CAST(NULL AS DOUBLE)" if value is None else f"double('{float(value)!r}')"
+
+
+def sla_breach_summary(tables, max_first_response_min: float | None, max_resolution_hours: float | None) -> DataFrame:
     """Tickets beyond the response or resolution limit, per category and priority."""
     source = tables.support_tickets("category", "priority", "first_response_minutes", "resolution_hours")
-    flags = sla_flags(f"{float(max_first_response_min)!r}d", f"{float(max_resolution_hours)!r}d")
+    flags = sla_flags(number(max_first_response_min), number(max_resolution_hours))
     return (
         source.select("category", "priority", *[F.expr(text).alias(name) for name, text in flags.items()])
         .groupBy("category", "priority")

@@ -1,8 +1,9 @@
 """Inverted text index on parquet, and top-k search over it.
 
-An index folder holds two tables: ``vectors`` (one row per document, with its term
-counts and length) and ``postings`` (one row per document and term, with the
-document's unit-length weight). Postings are range-partitioned and sorted by term
+An index folder holds four tables: ``vectors`` (one row per document, with its term
+counts and length), ``postings`` (one row per document and term, with the document's
+unit-length weight), ``terms`` (how many documents hold a term) and ``manifest`` (one
+row: what was indexed, how many documents, when). Postings are range-partitioned and sorted by term
 and key, so a search reads only the row groups of its terms, and a term that
 occurs in a third of all documents spreads over many files.
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from supportlens.functions.params import MAX_INLINE
 from supportlens.functions.text import counts_norm, log_tf, term_counts, token_total
 from supportlens.session import spread
+from supportlens.sources.storage import manifest_row
 
 DIGITS = 6
 POSTINGS_PER_FILE = 20_000_000
@@ -59,22 +61,43 @@ class TextIndex:
     def postings(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/postings")
 
+    @property
+    def manifest(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/manifest")
+
+    def documents(self) -> int:
+        return self.manifest.first()["documents"]
+
+    def frequencies(self, terms: list[str]) -> dict[str, int]:
+        """In how many documents each of the terms occurs; never larger than the list."""
+        table = self.spark.read.parquet(f"{self.path}/terms")
+        return {r["term"]: r["n"] for r in _among(table, terms).collect()}
 
-def write_postings(vectors: DataFrame, key: str, path: str) -> None:
+
+def write_postings(vectors: DataFrame, key: str, path: str, target: str = "postings") -> int:
     """Write the postings of stored vectors, in as many files as their number asks for."""
     spark = vectors.sparkSession
     total = vectors.agg(F.sum("n_terms").alias("n")).first()["n"] or 0
     files = max(spark.sparkContext.defaultParallelism, -(-total // POSTINGS_PER_FILE))
     ranged = postings_of(vectors, key).repartitionByRange(files, "term", key)
-    ranged.sortWithinPartitions("term", key).write.parquet(f"{path}/postings")
+    ranged.sortWithinPartitions("term", key).write.mode("overwrite").parquet(f"{path}/{target}")
+    return files
+
 
+def finish_index(index: TextIndex, name: str, text: str) -> TextIndex:
+    """Write everything that follows from the stored vectors; the manifest comes last."""
+    files = write_postings(index.vectors, index.key, index.path)
+    counted = index.postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counted.repartitionByRange(files, "term").sortWithinPartitions("term").write.parquet(f"{index.path}/terms")
+    manifest_row(index.vectors, name, index.key, text, index.path).write.parquet(f"{index.path}/manifest")
+    return index
 
-def write_index(docs: DataFrame, key: str, text: str, path: str) -> TextIndex:
+
+def write_index(docs: DataFrame, key: str, text: str, path: str, name: str = "index") -> TextIndex:
     """Build the index of ``docs[text]`` under ``path``."""
     index = TextIndex(docs.sparkSession, path, key)
     text_vectors(spread(docs), text).write.parquet(f"{path}/vectors")
-    write_postings(index.vectors, key, path)
-    return index
+    return finish_index(index, name, text)
 
 
 def query_terms(spark: SparkSession, text: str) -> dict[str, int]:
@@ -86,19 +109,19 @@ def query_terms(spark: SparkSession, text: str) -> dict[str, int]:
 def query_weights(index: TextIndex, text: str) -> dict[str, float]:
     """Unit-length weights of the query's terms that occur in the index."""
     terms = query_terms(index.spark, text)
-    matched = _matching(index, list(terms))
-    frequency = {r["term"]: r["n"] for r in matched.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
-    documents = index.vectors.count()
+    frequency = index.frequencies(list(terms))
+    documents = index.documents()
     raw = {t: (1 + math.log(terms[t])) * math.log(documents / n) for t, n in frequency.items()}
     length = math.sqrt(sum(w * w for w in raw.values()))
     return {t: w / length for t, w in raw.items() if w > 0}
 
 
-def _matching(index: TextIndex, terms: list[str]) -> DataFrame:
+def _among(table: DataFrame, terms: list[str]) -> DataFrame:
+    """Rows of a table of terms that hold one of the given ones."""
     if len(terms) <= MAX_INLINE:
-        return index.postings.where(F.col("term").isin(terms))
-    wanted = index.spark.createDataFrame([(t,) for t in terms], "term string")
-    return index.postings.join(wanted, "term", "left_semi")
+        return table.where(F.col("term").isin(terms))
+    wanted = table.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+    return table.join(wanted, "term", "left_semi")
 
 
 def scores(index: TextIndex, text: str, candidates: DataFrame | None = None) -> DataFrame:
@@ -112,7 +135,7 @@ def scores(index: TextIndex, text: str, candidates: DataFrame | None = None) ->
         return index.vectors.select(index.key, F.lit(0.0).alias("search_score")).where(F.lit(False))
     # One row per query term: bounded by the query text.
     table = index.spark.createDataFrame(list(weights.items()), "term string, query_weight double")
-    matched = _matching(index, list(weights)).join(F.broadcast(table), "term")
+    matched = _among(index.postings, list(weights)).join(F.broadcast(table), "term")
     if candidates is not None:
         matched = matched.join(candidates.select(index.key), index.key, "left_semi")
     return matched.groupBy(index.key).agg(
@@ -143,3 +166,11 @@ def search(
         source = source.where(F.col(index.key).isin([row[index.key] for row in best]))
     with_columns = source.join(hits, index.key)
     return with_columns.select("search_score", *source.columns).orderBy(F.desc("search_score"), index.key)
+
+
+def matching(
+    index: TextIndex, text: str, min_score: float, source: DataFrame | None = None, candidates: DataFrame | None = None
+) -> DataFrame:
+    """Every document whose score for a text is ``min_score`` or more, however many they are."""
+    found = scores(index, text, candidates).where(F.col("search_score") >= min_score)
+    return found if source is None else source.join(found, index.key).select("search_score", *source.columns)

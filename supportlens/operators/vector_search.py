@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supportlens.functions.vectors import dot
-from supportlens.session import written
+from supportlens.session import new_dir, written
 
 CHUNK = 4096
 # Queries scored at a time, which bounds the memory of a task.
@@ -312,18 +312,51 @@ def kmeans_lists(vectors: DataFrame, vector: str, n_lists: int, seed: int = 42)
     return model.transform(prepared).drop("_features")
 
 
-def lsh_top_k(vectors: DataFrame, key: str, vector: str, query: list[float], k: int = 5, bucket: float = 0.5, tables: int = 8) -> DataFrame:
-    """Approximate top-k with random projections; distances are turned into cosine scores."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.linalg import Vectors
+def lsh_buckets(vectors: DataFrame, key: str, vector: str, bits: int = 6, tables: int = 8, seed: int = 42) -> DataFrame:
+    """Rows ``(hash_table, bucket, key)``, stored: on which side of ``bits`` random planes a vector lies, per table."""
+    spark = vectors.sparkSession
+    schema = T.StructType([T.StructField("hash_table", T.IntegerType()), T.StructField("bucket", T.IntegerType()), vectors.schema[key]])
 
-    prepared = vectors.select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("_features"))
-    model = BucketedRandomProjectionLSH(
-        inputCol="_features", outputCol="_hashes", bucketLength=bucket, numHashTables=tables, seed=42
-    ).fit(prepared)
-    found = model.approxNearestNeighbors(prepared, Vectors.dense(query), k, distCol="_distance")
-    # Unit vectors: |x - q|^2 = 2 - 2 cos.
-    return found.select(key, F.round(1 - F.col("_distance") * F.col("_distance") / 2, DIGITS).alias("search_score"))
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found = lsh_signatures(_matrix(batch.column(vector), len(batch.column(vector)[0])), bits, tables, seed)
+            table = np.repeat(np.arange(tables, dtype=np.int32), batch.num_rows)
+            keys = batch.column(key).take(pa.array(np.tile(np.arange(batch.num_rows), tables)))
+            yield pa.RecordBatch.from_arrays([pa.array(table), pa.array(found.T.ravel()), keys], names=schema.names)
+
+    wanted = vectors.select(key, F.col(vector).cast("array<double>").alias(vector))
+    path = new_dir(spark, "lsh-buckets")
+    sorted_rows = wanted.mapInArrow(hashed, schema).repartitionByRange("hash_table", "bucket", key).sortWithinPartitions("hash_table", "bucket")
+    sorted_rows.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def lsh_signatures(vectors: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
+    """Bucket of each vector (rows) in each table (columns)."""
+    planes = np.random.default_rng(seed).normal(size=(vectors.shape[1], tables * bits))
+    sides = (vectors @ planes > 0).reshape(-1, tables, bits)
+    return (sides << np.arange(bits)).sum(axis=2).astype(np.int32)
+
+
+def lsh_top_k(
+    vectors: DataFrame, key: str, vector: str, query: list[float], k: int = 5, buckets: DataFrame | None = None,
+    bits: int = 6, tables: int = 8, radius: int = 2, seed: int = 42,
+) -> DataFrame:
+    """Approximate top-k: exact scores of the rows whose bucket differs from the query's in ``radius`` planes at most.
+
+    ``buckets`` is the stored table of ``lsh_buckets`` with the same parameters. Only its probed buckets are read;
+    their number depends on the parameters alone.
+    """
+    buckets = lsh_buckets(vectors, key, vector, bits, tables, seed) if buckets is None else buckets
+    own = lsh_signatures(np.array([query]), bits, tables, seed)[0]
+    near = [m for m in range(1 << bits) if m.bit_count() <= radius]
+    probed = F.lit(False)
+    for table, bucket in enumerate(own.tolist()):
+        probed |= (F.col("hash_table") == table) & F.col("bucket").isin([bucket ^ m for m in near])
+    found = vectors.join(buckets.where(probed).select(key).distinct(), key, "left_semi")
+    return vector_top_k(found.select(key, vector), key, vector, query, k)
 
 
 def recall(found: DataFrame, truth: DataFrame) -> DataFrame:

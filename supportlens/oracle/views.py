@@ -39,7 +39,7 @@ VIEWS = {
                CAST(c_custkey * 53 % 201 - 100 AS INT) AS nps_score,
                {picked(domain.SUPPORT_TIERS, 'c_custkey % 3')} AS support_tier,
                (SELECT max(o_orderdate) FROM orders WHERE o_custkey = c_custkey) AS last_login_date
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "products": f"""
         SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_brand AS tier, p_retailprice AS price,
                CAST(32 + p_partkey * 11 % 18 AS DOUBLE) / 10 AS avg_rating,
@@ -49,7 +49,7 @@ VIEWS = {
     "purchases": f"""
         SELECT l_orderkey * 10 + l_linenumber AS order_id, o_custkey AS customer_id, l_partkey AS product_id,
                p_name AS product_name, o_orderdate AS order_date, l_extendedprice AS amount,
-               CAST(round(l_discount * 100) AS INT) AS discount_percent,
+               CAST(round(l_discount * 100) AS INT) AS discount_percent, l_discount AS discount_rate,
                {picked(domain.ORDER_TYPES, 'l_linenumber % 4')} AS order_type,
                {stepped('l_orderkey % 100', [80, 90, 97], domain.PAYMENT_STATUSES)} AS payment_status
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
@@ -75,11 +75,11 @@ VIEWS = {
         FROM events WHERE event_type IN ('click', 'view', 'signup')""",
     "product_reviews": f"""
         SELECT d.doc_id AS review_id, d.doc_id * 7 % 150 AS customer_id, d.doc_id % 50 AS product_id, p_name AS product_name,
-               concat(p_name, '. ', {picked(domain.REVIEW_OPENINGS, 'n_chars % 5')}, '. ', text,
+               concat(coalesce(p_name, ''), '. ', {picked(domain.REVIEW_OPENINGS, 'n_chars % 5')}, '. ', coalesce(text, ''),
                       CASE WHEN n_chars % 2 = 0 THEN concat(' Rating: ', CAST(n_chars % 5 + 1 AS VARCHAR), '/5') ELSE '' END) AS review_text,
                n_chars * 3 % 5 + 1 AS given_rating, n_chars % 5 + 1 AS rating, n_chars % 51 AS helpful_votes,
                coalesce(quality, 0) = 1 AS verified_purchase
-        FROM documents d JOIN part ON p_partkey = d.doc_id % 50 LEFT JOIN labels l ON l.doc_id = d.doc_id""",
+        FROM documents d LEFT JOIN part ON p_partkey = d.doc_id % 50 LEFT JOIN labels l ON l.doc_id = d.doc_id""",
 }
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supportlens.functions.expressions import UNPAID, rounded, rows
+from supportlens.functions.expressions import rounded, rows
 from supportlens.operators import customer, product, revenue, support
 from supportlens.operators.checks import union_all
-from supportlens.operators.text_index import TextIndex, search
+from supportlens.operators.text_index import TextIndex, matching
+from supportlens.plans.patterns import MIN_SCORE
 
 NEGATIVE_RATING = 2
 AT_RISK = 0.5
@@ -65,7 +66,7 @@ def ticket_themes(tables) -> DataFrame:
 
 
 
-def product_action_plan(tables, limit: int = 20) -> DataFrame:
+def product_action_plan(tables, limit: int | None = None) -> DataFrame:
     """Products by a combined score of bad reviews, defects and ticket priority, worst first."""
     reviews = product.review_metrics(tables).select("product_id", "total_reviews", "avg_rating", "one_star_pct")
     defects = product.defect_profiles(tables).select("product_id", "product_name", "category", "defect_rate")
@@ -73,7 +74,7 @@ def product_action_plan(tables, limit: int = 20) -> DataFrame:
     urgency: Column = (
         20 * (5 - F.col("avg_rating")) + 500 * F.col("defect_rate") + 10 * F.coalesce("avg_ticket_priority_score", F.lit(0.0))
     )
-    return (
+    plan = (
         reviews.join(defects, "product_id")
         .join(load, ["product_name", "category"], "left")
         .join(ticket_themes(tables), ["product_name", "category"], "left")
@@ -83,18 +84,19 @@ def product_action_plan(tables, limit: int = 20) -> DataFrame:
             rounded(urgency, 3).alias("urgency"),
         )
         .orderBy(F.desc("urgency"), "product_id")
-        .limit(limit)
     )
+    return plan if limit is None else plan.limit(limit)
 
 
 def qbr_pack(tables, top: int = 5, min_churn: float = 0.4) -> DataFrame:
     """Quarterly review in long form: section, rank, name, metric and value.
 
-    Every section is cut to a few rows before it is ranked.
+    The review asks for the ``top`` at-risk customers, and the payments are the list of the payments tool; the other
+    sections are whole. Their rows are as many as there are plan tiers, categories or products.
     """
 
-    def section(title: str, source: DataFrame, name: str, metric: str, order: list, limit: int) -> DataFrame:
-        best = source.orderBy(*order).limit(limit)
+    def section(title: str, source: DataFrame, name: str, metric: str, order: list, limit: int | None = None) -> DataFrame:
+        best = source if limit is None else source.orderBy(*order).limit(limit)
         ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(title)).orderBy(*order)))
         return ranked.select(
             F.lit(title).alias("section"), "rank", F.col(name).cast("string").alias("name"),
@@ -110,25 +112,23 @@ def qbr_pack(tables, top: int = 5, min_churn: float = 0.4) -> DataFrame:
     at_risk = tables.customers("customer_id", "company_name", "churn_risk_score", "monthly_recurring_revenue")
     at_risk = at_risk.where(F.col("churn_risk_score") >= min_churn)
     load = product.correlation_metrics(tables).withColumn("name", F.concat_ws(" / ", "product_name", "category"))
-    unpaid = (
-        tables.purchases("payment_status", "amount").where(F.col("payment_status").isin(UNPAID))
-        .groupBy("payment_status").agg(rounded(F.sum("amount"), 2).alias("amount_due"))
-    )
+    payment = F.concat_ws(" / ", "company_name", F.col("order_id").cast("string"), "payment_status", "product_name")
+    unpaid = revenue.overdue_payments(tables).withColumn("name", payment)
     return union_all(
         [
-            section("revenue by plan tier", revenue.revenue_by_plan_tier(tables), "plan_tier", "total_mrr", [F.desc("total_mrr"), "plan_tier"], 20),
+            section("revenue by plan tier", revenue.revenue_by_plan_tier(tables), "plan_tier", "total_mrr", [F.desc("total_mrr"), "plan_tier"]),
             section("at-risk customers by revenue", at_risk, "company_name", "monthly_recurring_revenue", [F.desc("monthly_recurring_revenue"), "customer_id"], top),
-            section("support issues this quarter", this_quarter, "category", "tickets", [F.desc("tickets"), "category"], top),
-            section("products with most tickets", load, "name", "total_tickets_from_buyers", [F.desc("total_tickets_from_buyers"), "name"], top),
-            section("payments to follow up", unpaid, "payment_status", "amount_due", [F.desc("amount_due"), "payment_status"], top),
+            section("support issues this quarter", this_quarter, "category", "tickets", [F.desc("tickets"), "category"]),
+            section("products with most tickets", load, "name", "total_tickets_from_buyers", [F.desc("total_tickets_from_buyers"), "name"]),
+            section("payments to follow up", unpaid, "name", "amount", [F.desc("amount"), "name"]),
         ]
     )
 
 
 def enterprise_at_risk(tables, above: float = 0.6) -> DataFrame:
-    """The riskiest Enterprise customers: the plan is chosen before the list is cut."""
+    """All Enterprise customers above a churn risk."""
     chosen = (F.col("plan_tier") == "Enterprise") & (F.col("churn_risk_score") > above)
-    return customer.at_risk_customers(tables, above, predicate=chosen)
+    return customer.at_risk_customers(tables, above, predicate=chosen, limit=None)
 
 
 def at_risk_products_used(tables, min_churn: float = AT_RISK) -> DataFrame:
@@ -141,12 +141,11 @@ def at_risk_products_used(tables, min_churn: float = AT_RISK) -> DataFrame:
     return used.groupBy(*carried).agg(F.sum("orders").alias("orders"))
 
 
-def frustrated_customers(tables, index: TextIndex, text: str, category: str = "Integration", num_results: int = 50) -> DataFrame:
-    """Customers behind the best matching tickets of a category, with churn risk and reviews."""
+def frustrated_customers(tables, index: TextIndex, text: str, category: str = "Integration", min_score: float = MIN_SCORE) -> DataFrame:
+    """Customers behind the tickets of a category that match a text, with churn risk and reviews."""
     tickets = tables.support_tickets("ticket_id", "customer_id", "category")
     wanted = tickets.where(F.col("category") == category).select("ticket_id", "customer_id")
-    hits = search(index, text, num_results, source=wanted, candidates=wanted)
-    # At most num_results customers.
+    hits = matching(index, text, min_score, source=wanted, candidates=wanted)
     found = hits.groupBy("customer_id").agg(rows().alias("matching_tickets"), F.max("search_score").alias("best_score"))
     reviews = (
         tables.product_reviews("customer_id", "rating").groupBy("customer_id")

@@ -7,7 +7,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RETENTION_DAYS = 21
 COLUMNS = ["ticket_id", "customer_id", "subject", "priority", "status", "resolution_hours", "created_at"]
 
 
@@ -16,25 +15,24 @@ def last_created(tables) -> datetime:
     return tables.support_tickets("created_at").agg(F.max("created_at").alias("t")).first()["t"]
 
 
-def tickets_as_of(tables, moment: datetime, retention_days: int = RETENTION_DAYS) -> DataFrame:
-    """Tickets as they stood at a moment.
+def tickets_as_of(tables, moment: datetime, *more: str) -> DataFrame:
+    """Tickets as they stood at a moment, with further columns on demand.
 
-    Later tickets are absent, those finished later are still in progress without a
-    resolution time, and closed ones older than the retention period are archived.
+    Later tickets are absent, and those finished later are still in progress without a
+    resolution time.
     """
     at = F.lit(moment).cast("timestamp_ntz")
     seconds = F.round(F.col("resolution_hours") * 3600).cast("bigint")
     unfinished = F.col("resolution_hours").isNotNull() & (F.col("created_at") + F.make_dt_interval(secs=seconds) > at)
-    archived = (F.col("status") == "Closed") & (F.col("created_at") < at - F.make_dt_interval(days=F.lit(retention_days)))
     return (
-        tables.support_tickets(*COLUMNS)
-        .where((F.col("created_at") <= at) & ~archived)
+        tables.support_tickets(*COLUMNS, *more)
+        .where(F.col("created_at") <= at)
         .withColumn("status", F.when(unfinished, "In Progress").otherwise(F.col("status")))
         .withColumn("resolution_hours", F.when(~unfinished, F.col("resolution_hours")))
     )
 
 
-def week_apart(tables) -> tuple[DataFrame, DataFrame]:
+def week_apart(tables, *more: str) -> tuple[DataFrame, DataFrame]:
     """Ticket snapshots of a week before the newest ticket, and of its time."""
     now = last_created(tables)
-    return tickets_as_of(tables, now - timedelta(days=7)), tickets_as_of(tables, now)
+    return tickets_as_of(tables, now - timedelta(days=7), *more), tickets_as_of(tables, now, *more)

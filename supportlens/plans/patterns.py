@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from supportlens.functions.expressions import percent, rounded, rows
 from supportlens.functions.text import bind, masked, tokens
-from supportlens.operators.text_index import TextIndex, search
+from supportlens.operators.checks import union_all
+from supportlens.operators.text_index import TextIndex, matching
 from supportlens.session import spread
 
 SENTENCE_END = r"[.!?\n]+"
-HITS = 50
+# A ticket counts as a match of a text from this score on: about as much as one rare word out of ten in common.
+MIN_SCORE = 0.1
 
 
 def each(df: DataFrame, elements: Column, name: str, *others: str) -> DataFrame:
@@ -23,9 +25,10 @@ def each(df: DataFrame, elements: Column, name: str, *others: str) -> DataFrame:
     return df.select(*others, F.explode_outer(elements).alias(name)).where(F.col(name).isNotNull())
 
 
-def ticket_hits(tables, index: TextIndex, text: str, num_results: int = HITS) -> DataFrame:
+def ticket_hits(tables, index: TextIndex, text: str, min_score: float = MIN_SCORE) -> DataFrame:
+    """All tickets that match a text."""
     source = tables.support_tickets("ticket_id", "customer_id", "category", "priority", "status")
-    return search(index, text, num_results, source=source)
+    return matching(index, text, min_score, source=source)
 
 
 def hits_by_category(hits: DataFrame) -> DataFrame:
@@ -65,8 +68,8 @@ def error_patterns(tables) -> DataFrame:
     return per_customer.groupBy("pattern").agg(F.sum("n").alias("tickets"), rows().alias("customers"))
 
 
-def review_themes(tables, min_customers: int = 2, limit: int | None = 100) -> DataFrame:
-    """Word pairs that several customers mention, most customers first."""
+def review_themes(tables, min_customers: int = 2, limit: int | None = None) -> DataFrame:
+    """Word pairs that several customers mention; with a ``limit``, those of most customers."""
     reviews = spread(tables.product_reviews("customer_id", "review_text"))
 
     def pairs(words: Column) -> Column:
@@ -151,6 +154,23 @@ def template_clusters(tables) -> DataFrame:
     )
 
 
+def template_sentences(tables, min_customers: int = 2) -> DataFrame:
+    """Sentences of ticket descriptions and reviews that several customers write, but for codes, quotes and numbers."""
+    texts = union_all(
+        [
+            tables.support_tickets("ticket_id", "customer_id", "description").select(F.lit("ticket").alias("source"), F.col("ticket_id").alias("id"), "customer_id", F.col("description").alias("text")),
+            tables.product_reviews("review_id", "customer_id", "review_text").select(F.lit("review").alias("source"), F.col("review_id").alias("id"), "customer_id", F.col("review_text").alias("text")),
+        ]
+    )
+    sentences = F.transform(F.split("text", SENTENCE_END), lambda s: F.trim(masked(s)))
+    return (
+        each(spread(texts), F.filter(F.array_distinct(sentences), lambda s: s != ""), "template", "source", "customer_id")
+        .groupBy("source", "template", "customer_id").agg(rows().alias("n"))
+        .groupBy("source", "template").agg(F.sum("n").alias("texts"), rows().alias("customers"))
+        .where(F.col("customers") >= min_customers)
+    )
+
+
 def tag_counts(tables) -> DataFrame:
     """Tickets per tag, and how many of them are Critical."""
     tagged = tables.support_tickets("tags", "priority")

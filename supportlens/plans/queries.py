@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from supportlens.operators import change_feed as feeds
 from supportlens.operators import checks, customer, lookups, product, revenue, support
 from supportlens.operators import text_index, vector_search
 from supportlens.plans import cross_domain, history, patterns, routing, tools
-from supportlens.session import new_dir, spread, stored, written
+from supportlens.session import new_dir, spread, state_of, stored, written
 from supportlens.sources import storage
 from supportlens.sources.domain import CATEGORIES, ORDER_TYPES, StarTables
 from supportlens.streaming import index_sync
@@ -45,19 +46,19 @@ def query(name: str):
 
 
 def tickets_index(t: StarTables) -> text_index.TextIndex:
-    """Index of the ticket texts, built once per application and data folder."""
+    """Index of the ticket texts, built once per application and state of the source files."""
 
     def build(path: str) -> None:
         text_index.write_index(t.support_tickets("ticket_id", "description"), "ticket_id", "description", path)
 
-    return text_index.TextIndex(t.spark, stored(t.spark, (t.sf_dir, "tickets-index"), build), "ticket_id")
+    return text_index.TextIndex(t.spark, stored(t.spark, (t.sf_dir, *map(state_of, (t.raw("events"), t.raw("documents"))), "tickets-index"), build), "ticket_id")
 
 
 def reviews_index(t: StarTables) -> text_index.TextIndex:
     def build(path: str) -> None:
         text_index.write_index(t.product_reviews("review_id", "review_text"), "review_id", "review_text", path)
 
-    return text_index.TextIndex(t.spark, stored(t.spark, (t.sf_dir, "reviews-index"), build), "review_id")
+    return text_index.TextIndex(t.spark, stored(t.spark, (t.sf_dir, *map(state_of, (t.raw("part"), t.raw("documents"))), "reviews-index"), build), "review_id")
 
 
 # --- table functions -------------------------------------------------------------
@@ -196,6 +197,13 @@ def _(t):
     return feeds.change_feed(old, new, "ticket_id")
 
 
+@query("change_feed_undone")
+def _(t):
+    # The other way round: what would take the newer snapshot back, deletions included.
+    old, new = history.week_apart(t)
+    return feeds.change_feed(new, old, "ticket_id")
+
+
 @query("index_manifest")
 def _(t):
     parts = [
@@ -372,13 +380,26 @@ def _(t):
 def _(t):
     # The older ticket snapshot as version 0, then a week of changes as version 1.
     path = new_dir(t.spark, "upserted-index")
-    old, new = [s.select("ticket_id", "status", "subject") for s in history.week_apart(t)]
-    index_sync.write_version(old, "ticket_id", "subject", path, 0)
-    index_sync.write_changes(feeds.change_feed(old, new, "ticket_id"), "ticket_id", "subject", path, 1)
+    old, new = [s.select("ticket_id", "status", "description") for s in history.week_apart(t, "description")]
+    index_sync.write_version(old, "ticket_id", "description", path, 0)
+    index_sync.write_changes(feeds.change_feed(old, new, "ticket_id"), "ticket_id", "description", path, 1)
     rows_now = index_sync.current(t.spark, path, "ticket_id")
     return rows_now.select("ticket_id", "status", "n_tokens", "n_terms", F.round("norm", 6).alias("norm"))
 
 
+@query("search_after_sync")
+def _(t):
+    # Three increments: the tickets of two weeks ago, and the changes of either week; then a search over all of them.
+    path, now = new_dir(t.spark, "live-index"), history.last_created(t)
+    states = [history.tickets_as_of(t, now - timedelta(days=d), "description").select("ticket_id", "status", "description") for d in (14, 7, 0)]
+    index_sync.write_version(states[0], "ticket_id", "description", path, 0)
+    for version in (1, 2):
+        changes = feeds.change_feed(states[version - 1], states[version], "ticket_id")
+        index_sync.write_changes(changes, "ticket_id", "description", path, version)
+    source = t.support_tickets("ticket_id", "customer_id", "description", "priority")
+    return text_index.search(index_sync.LiveIndex(t.spark, path, "ticket_id"), TEXT_SLOW, 5, source)
+
+
 # --- cross-domain questions ------------------------------------------------------
 
 
@@ -430,13 +451,12 @@ def _(t):
 @query("validate_params")
 def _(t):
     # A caller that mixes up the vocabularies of customers, tickets and products.
-    requested = checks.union_all(
+    requested = lookups.distinct_values(
+        t,
         [
-            t.customers("industry").distinct().select(F.lit("industry").alias("parameter"), F.col("industry").alias("value")),
-            t.products("category").distinct().select(F.lit("ticket_category").alias("parameter"), F.col("category").alias("value")),
-            t.customers("support_tier").distinct().select(F.lit("plan_tier").alias("parameter"), F.col("support_tier").alias("value")),
-            t.support_tickets("status").distinct().select(F.lit("priority").alias("parameter"), F.col("status").alias("value")),
-        ]
+            ("customers", "industry", "industry"), ("products", "category", "ticket_category"),
+            ("customers", "support_tier", "plan_tier"), ("support_tickets", "status", "priority"),
+        ],
     )
     return lookups.validate_params(t, requested)
 
@@ -484,6 +504,11 @@ def _(t):
     return patterns.template_clusters(t)
 
 
+@query("template_sentences")
+def _(t):
+    return patterns.template_sentences(t)
+
+
 @query("tag_counts")
 def _(t):
     return patterns.tag_counts(t)
@@ -505,11 +530,10 @@ def _(t):
 
 @query("derive_discount")
 def _(t):
-    # A price belongs to a product, so order lines are counted before the product join.
-    sold = t.purchases("product_id", "discount_percent").groupBy("product_id", "discount_percent").agg(rows().alias("orders"))
-    price = derive.discounted(F.col("price"), F.col("discount_percent"))
-    return sold.join(t.products("product_id", "price"), "product_id").select(
-        "product_id", "discount_percent", price.alias("discounted_price"), "orders"
+    sold = t.purchases("order_id", "product_id", "discount_rate").join(t.products("product_id", "price"), "product_id")
+    rate = F.col("discount_rate")
+    return sold.select(
+        "order_id", "product_id", derive.whole_percent(rate).alias("discount_percent"), derive.discounted(F.col("price"), rate).alias("discounted_price")
     )
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,7 +39,7 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
     Only a local master, where driver and executors share one machine, may fall
-    back to a temporary folder.
+    back to a temporary folder, which goes when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
@@ -46,6 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_base:
         _local_base[app] = tempfile.mkdtemp(prefix="supportlens-")
+        atexit.register(shutil.rmtree, _local_base[app], ignore_errors=True)
     return _local_base[app]
 
 
@@ -76,6 +80,14 @@ def stored(spark: SparkSession, key: tuple[str, ...], build: Callable[[str], Non
     return _stored[full]
 
 
+def state_of(df: DataFrame) -> str:
+    """Changes when the files behind ``df`` do: their paths, sizes and times, summed up where they are read."""
+    meta = df.metadataColumn("_metadata")
+    files = df.select(meta["file_path"].alias("p"), meta["file_size"].alias("s"), meta["file_modification_time"].alias("t")).distinct()
+    found = files.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("p", "s", "t").cast("decimal(38,0)")).alias("h")).first()
+    return f"{found['n']}-{found['h']}"
+
+
 FEW_FILES = 16
 
 

@@ -144,9 +144,9 @@ class StarTables:
         df = self.raw("customer")
         # nation and region are fixed at 25 and 5 rows.
         if wanted & {"csm_assigned", "region"}:
-            df = df.join(F.broadcast(self.raw("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+            df = df.join(F.broadcast(self.raw("nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         if "region" in wanted:
-            df = df.join(F.broadcast(self.raw("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+            df = df.join(F.broadcast(self.raw("region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
         if "last_login_date" in wanted:
             last = self.raw("orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_order"))
             df = df.join(last, F.col("c_custkey") == F.col("o_custkey"), "left")
@@ -177,6 +177,7 @@ class StarTables:
             "product_id": F.col("l_partkey"),
             "amount": F.col("l_extendedprice"),
             "discount_percent": F.round(F.col("l_discount") * 100).cast("int"),
+            "discount_rate": F.col("l_discount"),
             "order_type": pick(ORDER_TYPES, F.col("l_linenumber") % 4),
             "payment_status": steps(F.col("l_orderkey") % 100, [80, 90, 97], PAYMENT_STATUSES),
         }
@@ -255,7 +256,7 @@ class StarTables:
             "product_id": d % 50,
             "product_name": F.col("p_name"),
             "review_text": F.concat(
-                F.col("p_name"), F.lit(". "), pick(REVIEW_OPENINGS, n % 5), F.lit(". "), F.col("text"),
+                F.coalesce("p_name", F.lit("")), F.lit(". "), pick(REVIEW_OPENINGS, n % 5), F.lit(". "), F.coalesce("text", F.lit("")),
                 F.when(n % 2 == 0, F.concat(F.lit(" Rating: "), rating.cast("string"), F.lit("/5"))).otherwise(""),
             ),
             "given_rating": n * 3 % 5 + 1,
@@ -268,7 +269,7 @@ class StarTables:
         if wanted & {"product_name", "review_text"}:
             # product_id is 0..49, so at most 50 product rows can match.
             reviewed = self.raw("part").where(F.col("p_partkey") < 50).select("p_partkey", "p_name")
-            df = df.join(F.broadcast(reviewed), d % 50 == F.col("p_partkey"))
+            df = df.join(F.broadcast(reviewed), d % 50 == F.col("p_partkey"), "left")
         if "verified_purchase" in wanted:
             labels = self.raw("labels").withColumnRenamed("doc_id", "label_doc_id")
             df = df.join(labels, d == F.col("label_doc_id"), "left")

@@ -31,10 +31,11 @@ def drop_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
 
-def manifest_row(source: DataFrame, index_name: str, key: str, text: str) -> DataFrame:
-    """One row that describes an index and the table it was built from."""
+def manifest_row(source: DataFrame, index_name: str, key: str, text: str, path: str = "") -> DataFrame:
+    """One row that describes an index, where it lies and the table it was built from."""
     return source.agg(
         F.lit(index_name).alias("index_name"),
+        F.lit(path).alias("path"),
         F.lit(key).alias("key_column"),
         F.lit(text).alias("text_column"),
         F.count(key).alias("documents"),

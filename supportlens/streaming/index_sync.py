@@ -1,18 +1,23 @@
 """Incremental text index: versions are appended, the newest per key counts.
 
 Parquet has no merge, so each increment goes to its own folder, named by the
-streaming batch. A replayed batch overwrites the folder it wrote before.
+streaming batch. A replayed batch overwrites the folder it wrote before. Each increment
+has its postings beside it, so that it can be searched at once: postings of versions
+that were replaced or deleted are left out when they are read, and gone after
+``compact`` or ``publish``.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from supportlens.operators.change_feed import AFTER, DELETE, INSERT
-from supportlens.operators.text_index import TextIndex, text_vectors, write_postings
+from supportlens.operators.text_index import TextIndex, finish_index, text_vectors, write_postings
 from supportlens.session import spread
 
 
@@ -22,13 +27,51 @@ def write_version(
     """Index the rows as one version.
 
     ``deleted`` names a boolean column of tombstones. Where a key can occur twice in
-    one increment, ``sequence`` names the column whose largest value is the newest.
+    one increment, ``sequence`` names the column whose largest value is the newest; of
+    equally new rows, or without a sequence, the largest row counts.
     """
-    if sequence:
-        newest = rows.groupBy(key).agg(F.max(sequence).alias(sequence))
-        rows = rows.join(newest, [key, sequence]).drop(sequence)
+    first = [sequence] if sequence else []
+    others = [c for c in rows.columns if c not in (key, sequence)]
+    rows = rows.groupBy(key).agg(F.max(F.struct(*first, *others)).alias("_newest")).select(key, *[f"_newest.{c}" for c in others])
     marked = rows.withColumnRenamed(deleted, "deleted") if deleted else rows.withColumn("deleted", F.lit(False))
-    text_vectors(spread(marked), text).write.mode("overwrite").parquet(f"{path}/version={version}")
+    target = f"{path}/version={version}"
+    text_vectors(spread(marked), text).write.mode("overwrite").parquet(target)
+    write_postings(rows.sparkSession.read.parquet(target), key, postings_of_versions(path), f"version={version}")
+
+
+def postings_of_versions(path: str) -> str:
+    return f"{path.rstrip('/')}.postings"
+
+
+def live(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Key and newest version of every document that isn't deleted."""
+    newest = spark.read.parquet(path).groupBy(key).agg(F.max(F.struct("version", "deleted")).alias("newest"))
+    return newest.where(~F.col("newest.deleted")).select(key, "newest.version")
+
+
+@dataclass(frozen=True)
+class LiveIndex:
+    """The versions under a path as one index for ``text_index.search``."""
+
+    spark: SparkSession
+    path: str
+    key: str
+
+    @property
+    def vectors(self) -> DataFrame:
+        return current(self.spark, self.path, self.key)
+
+    @property
+    def postings(self) -> DataFrame:
+        every = self.spark.read.parquet(postings_of_versions(self.path))
+        return every.join(live(self.spark, self.path, self.key), [self.key, "version"], "left_semi").drop("version")
+
+    def documents(self) -> int:
+        return live(self.spark, self.path, self.key).count()
+
+    def frequencies(self, terms: list[str]) -> dict[str, int]:
+        counted = self.postings.where(F.col("term").isin(terms)).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        return {r["term"]: r["n"] for r in counted.collect()}
 
 
 def current(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -45,14 +88,14 @@ def compact(spark: SparkSession, path: str, key: str, target: str) -> None:
     """Write the current state as the only version of a new folder."""
     rows = current(spark, path, key).drop("version").withColumn("deleted", F.lit(False))
     rows.write.mode("overwrite").parquet(f"{target}/version=0")
+    write_postings(spark.read.parquet(f"{target}/version=0"), key, postings_of_versions(target), "version=0")
 
 
 def publish(spark: SparkSession, path: str, key: str, target: str) -> TextIndex:
     """Make the current state searchable: an index folder for ``text_index.search``."""
     index = TextIndex(spark, target, key)
     current(spark, path, key).drop("version").write.parquet(f"{target}/vectors")
-    write_postings(index.vectors, key, target)
-    return index
+    return finish_index(index, "published", "text")
 
 
 def write_changes(feed: DataFrame, key: str, text: str, path: str, version: int) -> None:

@@ -28,12 +28,13 @@ SCHEMAS = {
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         **{
             "spark.master": "local[8]", "spark.driver.memory": "8g", "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("OFF")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from supportlens.operators.change_feed import apply_changes, change_feed
 from supportlens.operators.text_index import search, text_vectors, write_index
-from supportlens.session import new_dir, shared_dir, stored, written
+from supportlens.session import new_dir, shared_dir, state_of, stored, written
 from supportlens.sources import storage
 from supportlens.streaming import index_sync
 from tests.conftest import as_set
@@ -75,6 +75,40 @@ def test_published_index_is_searchable(spark, snapshots):
     assert [r.id for r in search(synced, "fresh", 5, source=new).collect()] == [5]
 
 
+def test_increments_are_searchable_at_once(spark, snapshots):
+    old, new = snapshots
+    path = new_dir(spark, "versions")
+    for version in range(3):
+        before, after = (old, new) if version % 2 else (new, old)
+        if version == 0:
+            index_sync.write_version(old, "id", "text", path, 0)
+        else:
+            index_sync.write_changes(change_feed(before, after, "id"), "id", "text", path, version)
+        built = write_index((after if version else old).select("id", "text"), "id", "text", new_dir(spark, "built"))
+        for query in ("fresh filled", "gone", "same same kept"):
+            assert as_set(search(index_sync.LiveIndex(spark, path, "id"), query, 5)) == as_set(search(built, query, 5))
+    index_sync.compact(spark, path, "id", smaller := new_dir(spark, "compacted"))
+    assert as_set(search(index_sync.LiveIndex(spark, smaller, "id"), "gone", 5)) == as_set(search(built, "gone", 5))
+
+
+def test_a_key_is_indexed_once_per_increment(spark):
+    rows = spark.createDataFrame([(1, "a", 2), (1, "b", 2), (1, "z", 1), (2, "c", None), (2, "c", None)], "id bigint, text string, seq int")
+    for sequence, first in (("seq", "b"), (None, "z")):
+        path = new_dir(spark, "versions")
+        index_sync.write_version(rows if sequence else rows.drop("seq"), "id", "text", path, 0, sequence=sequence)
+        got = {r.id: r.counts[0].term for r in index_sync.current(spark, path, "id").collect()}
+        assert got == {1: first, 2: "c"} and spark.read.parquet(path).count() == 2
+
+
+def test_an_index_follows_its_sources(spark):
+    path = new_dir(spark, "source")
+    spark.range(5).write.parquet(path)
+    first = state_of(spark.read.parquet(path))
+    assert state_of(spark.read.parquet(path)) == first
+    spark.range(1).write.mode("append").parquet(path)
+    assert state_of(spark.read.parquet(path)) != first
+
+
 def test_increments_equal_one_batch(spark):
     rows = [(i, f"word{chr(97 + i % 7)} text", 0) for i in range(40)]
     updates = [(i, "changed completely now", 1) for i in range(0, 40, 3)]

@@ -176,6 +176,31 @@ def test_lsh_finds_the_vector_itself(spark):
     assert found[0].id == 11 and abs(found[0].search_score - 1) < 1e-6
 
 
+def test_lsh_scores_are_exact_for_a_query_of_any_length(spark):
+    vectors, labels = clustered(400, 16, 0.4, 12)
+    df, queries = frame(spark, vectors, labels), [vectors.mean(axis=0), 3 * vectors[5], vectors[7] + vectors[9]]
+    buckets = vector_search.lsh_buckets(df, "id", "v")
+    assert buckets.count() == 400 * 8
+    hits = 0
+    for query in queries:
+        scores = np.round(vectors @ query, 6)
+        found = vector_search.lsh_top_k(df, "id", "v", [float(x) for x in query], 5, buckets).collect()
+        assert all(abs(r.search_score - scores[r.id]) < 2e-6 for r in found)
+        hits += len({r.id for r in found} & set(np.argsort(-scores, kind="stable")[:5].tolist()))
+    assert hits >= 0.9 * 5 * len(queries)
+
+
+def test_matching_is_not_limited(index, corpus):
+    expected = {k for k, s in brute_scores(corpus, "waa hot").items() if round(s, 6) >= 0.2}
+    assert len(expected) > 50
+    assert {r.id for r in text_index.matching(index, "waa hot", 0.2).collect()} == expected
+
+
+def test_the_manifest_describes_the_index(index, corpus):
+    row = index.manifest.first()
+    assert (row.documents, row.key_column, row.path) == (len(corpus), "id", index.path) and row.created_at is not None
+
+
 def test_too_many_lists_are_refused(spark, monkeypatch):
     monkeypatch.setattr(vector_search, "MAX_LISTS", 3)
     vectors, _ = clustered(20, 4, 0.4, 1)

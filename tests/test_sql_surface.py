@@ -63,5 +63,17 @@ def test_odd_lists_give_no_rows(spark, star, bad):
     assert spark.sql(f"SELECT * FROM get_customers_by_industry({bad})").count() == 0
 
 
+@pytest.mark.parametrize("param", ['["007"]', '["-0"]', '["99999999999999999999"]', "[1.0]", "[7, 8]", '["7", null]', '[" 7"]', '["+7"]', '["\u0667"]'])
+def test_numbers_as_text_mean_the_same(spark, star, param):
+    python = tools.call(star, "get_customer_health_summary", customer_ids=param)
+    assert as_set(python) == as_set(spark.sql(f"SELECT * FROM get_customer_health_summary({tools.quoted(param)})"))
+
+
+@pytest.mark.parametrize("param", ['["BUILDING"] x', "['BUILDING']", '["BUILDING"', '"BUILDING"', '{"a": "BUILDING"}', '[["BUILDING"]]', ' ["BUILDING"] ', ""])
+def test_odd_texts_mean_the_same(spark, star, param):
+    python = tools.call(star, "get_customers_by_industry", industries=param)
+    assert as_set(python) == as_set(spark.sql(f"SELECT * FROM get_customers_by_industry({tools.quoted(param)})"))
+
+
 def test_comments_are_escaped():
     assert tools.quoted("it's a \\ test") == "'it\\'s a \\\\ test'"

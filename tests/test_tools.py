@@ -22,8 +22,9 @@ def test_lists_that_match_nothing(tables, param):
     assert customer.customer_health_summary(t, param).count() == 0
 
 
-def test_list_elements_as_text():
-    assert parse_list('[1, null, "b", {"a":1}, true]') == ["1", "b", '{"a":1}', "true"]
+def test_list_elements_as_text(spark):
+    assert parse_list(spark, '[1, null, "b", {"a":1}, true]') == ["1", "b", '{"a":1}', "true"]
+    assert parse_list(spark, [1, None, "b", True]) == ["1", "b", "true"]
 
 
 @pytest.mark.parametrize("param", ['["C1", "zzz"]', ["C1"], ("C1", "C1")])
@@ -166,6 +167,25 @@ def test_tied_amounts_are_cut_by_key(tables):
     assert [r.order_id for r in revenue.overdue_payments(t).collect()] == [f"O{i:04d}" for i in range(50)]
 
 
+def test_orders_keep_the_name_their_product_had(tables):
+    t = tables(
+        products=[{"product_id": "P1", "name": "Desk 2", "category": "Tools"}],
+        purchases=[
+            {"order_id": str(i), "customer_id": "C1", "product_id": "P1", "product_name": name, "amount": 10.0, "discount_percent": 0}
+            for i, name in enumerate(["Desk", "Desk 2", "Desk 2"])
+        ],
+        support_tickets=[ticket(1, priority="Critical")],
+    )
+    assert [(r.product_name, r.total_orders) for r in product.product_revenue(t).collect()] == [("Desk 2", 2), ("Desk", 1)]
+    assert [tuple(r)[:4] for r in product.product_ticket_correlation(t).collect()] == [("Desk 2", "Tools", 1, 2), ("Desk", "Tools", 1, 1)]
+
+
+@pytest.mark.parametrize("limit, breached", [(None, 0), (float("inf"), 0), (float("nan"), 0), (float("-inf"), 1), (1, 1)])
+def test_sla_limits_of_any_kind(tables, limit, breached):
+    t = tables(support_tickets=[ticket(1, first_response_minutes=60.0)])
+    assert support.sla_breach_summary(t, limit, None).first().breached_response_sla == breached
+
+
 def test_paid_orders_are_left_out(tables):
     rows = orders_of(2) + [{**orders_of(1)[0], "order_id": "paid", "payment_status": "Paid"}]
     t = tables(customers=CUSTOMERS, purchases=rows)
