@@ -7,8 +7,10 @@ the sum that reaches the target recall for neighbours just at the threshold, as
 vectors and random neighbours of theirs; closer neighbours are found more often. All candidates are verified by
 their cosine in double precision.
 
-Equal vectors are one class from the start. Cells are cut into chunks of bounded size, wherever a cell may lie, and
-a task compares two chunks at a time: it emits how many links each vector has and a spanning forest of the links.
+Equal vectors are one class from the start. Cells are cut into chunks of bounded size, so that a cell with very many
+vectors is the work of many tasks. From each chunk, the vectors that visit a cell travel there together; of two cells
+only the lower one visits the other. A task holds one chunk and compares what visits it: it emits how many links each
+vector has and a spanning forest of the links.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ THRESHOLD, RECALL, SEED = 0.95, 0.999, 42
 SAMPLE = 8192
 #: Vectors per cell aimed at, centroids per half at most, rounds of k-means, vectors per chunk at most.
 CELL, CENTROIDS, ROUNDS, CHUNK = 200, 256, 10, 512
+#: Groups of visitors that meet a chunk in one place; more are dealt out to copies of the chunk.
+VISITORS = 64
 
 
 def usable(vector: Column) -> Column:
@@ -132,9 +136,12 @@ def _assigned(classes: DataFrame, index: MultiIndex, dim: int) -> DataFrame:
     return written(classes.select("id", "n", "vector").mapInArrow(run, "cell long, id long, n long, vector binary"), "vector-cells")
 
 
-def _chunks(assigned: DataFrame, index: MultiIndex, kind: str) -> DataFrame:
-    """Chunks of a cell: their number, cell, the cells visited from any of their vectors, and the vectors."""
-    schema = pa.schema([("chunk", pa.int64()), ("cell", pa.int64()), ("visits", pa.list_(pa.int64())), ("ids", pa.binary()), ("ns", pa.binary()), ("vectors", pa.binary())])
+PARCEL = "visitor boolean, chunk long, cell long, ids binary, ns binary, vectors binary"
+
+
+def _parcels(assigned: DataFrame, index: MultiIndex, kind: str) -> DataFrame:
+    """The chunks of all cells, and for each chunk the vectors of it that visit its own or a higher cell, by cell."""
+    schema = pa.schema([("visitor", pa.bool_()), ("chunk", pa.int64()), ("cell", pa.int64()), ("ids", pa.binary()), ("ns", pa.binary()), ("vectors", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, at = TaskContext.get().partitionId() << 32, [], None
@@ -142,14 +149,17 @@ def _chunks(assigned: DataFrame, index: MultiIndex, kind: str) -> DataFrame:
         def out():
             nonlocal number, held
             ids, ns, blobs = zip(*held, strict=True)
-            vectors = np.frombuffer(b"".join(blobs), kind).reshape(len(ids), -1)
+            ids, ns, vectors = np.array(ids, np.int64), np.array(ns, np.int64), np.frombuffer(b"".join(blobs), kind).reshape(len(ids), -1)
             _, (first, second) = index.distances(units(vectors.astype(np.float64)))
-            seen = set()
-            for a, b in zip(first, second, strict=True):
-                seen.update(index.visits(a, b))
-            row = [number, at, sorted(seen), np.array(ids, np.int64).tobytes(), np.array(ns, np.int64).tobytes(), vectors.tobytes()]
+            visits: dict[int, list[int]] = {}
+            for i, (a, b) in enumerate(zip(first, second, strict=True)):
+                for cell in index.visits(a, b):
+                    if cell >= at:
+                        visits.setdefault(cell, []).append(i)
+            rows = [(False, number, at, ids.tobytes(), ns.tobytes(), vectors.tobytes())]
+            rows += [(True, number, cell, ids[mine].tobytes(), ns[mine].tobytes(), vectors[mine].tobytes()) for cell, mine in sorted(visits.items())]
             number, held = number + 1, []
-            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
             for cell, *rest in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
@@ -161,48 +171,54 @@ def _chunks(assigned: DataFrame, index: MultiIndex, kind: str) -> DataFrame:
             yield out()
 
     dealt = assigned.repartitionByRange("cell", "id").sortWithinPartitions("cell", "id")
-    return written(dealt.mapInArrow(run, "chunk long, cell long, visits array<long>, ids binary, ns binary, vectors binary"), "vector-chunks")
+    return written(dealt.mapInArrow(run, PARCEL), "vector-parcels")
 
 
-def _linked(chunks: DataFrame, kind: str, threshold: float) -> DataFrame:
+def _linked(parcels: DataFrame, kind: str, threshold: float) -> DataFrame:
     """(id, n, label): how many vectors a class is linked to outside itself, and a smaller class it is connected to."""
-    visits = chunks.select("chunk", F.explode("visits").alias("cell"))
-    cells = chunks.select(F.col("chunk").alias("other"), "cell")
-    pairs = written(
-        visits.join(cells, "cell").select(F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b")).distinct(),
-        "vector-pairs",
+    chunks = parcels.filter("NOT visitor")
+    visited = parcels.filter("visitor").groupBy("cell").agg(F.ceil(F.count("*") / VISITORS).alias("places"))
+    targets = written(
+        chunks.select(F.col("chunk").alias("target"), "cell").join(written(visited, "vector-visited"), "cell"), "vector-targets"
+    )
+    blobs = ["ids", "ns", "vectors"]
+    own = chunks.withColumnRenamed("chunk", "target").join(targets.drop("cell"), "target").select(
+        "target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place"), F.lit(False).alias("visitor"), F.lit(False).alias("inside"), *blobs
     )
-    both = pairs
-    for side in "ab":
-        both = both.join(chunks.select(F.col("chunk").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("ids", "ns", "vectors")]), side)
+    homes = chunks.select("chunk", F.col("cell").alias("home"))
+    guests = parcels.filter("visitor").join(targets, "cell").join(homes, "chunk").select(
+        "target", F.pmod(F.xxhash64("chunk"), F.col("places")).alias("place"), F.lit(True).alias("visitor"), (F.col("home") == F.col("cell")).alias("inside"), *blobs
+    )
+    dealt = own.unionByName(guests).repartition("target", "place").sortWithinPartitions("target", "place", "visitor")
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("label", pa.int64())])
 
+    def unpacked(row):
+        ids = np.frombuffer(row["ids"], np.int64)
+        return ids, np.frombuffer(row["ns"], np.int64), units(np.frombuffer(row["vectors"], kind).reshape(len(ids), -1).astype(np.float64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host = None
         for batch in batches:
-            for a, b, ids_a, ns_a, vectors_a, ids_b, ns_b, vectors_b in zip(*[batch.column(i).to_pylist() for i in range(8)], strict=True):
-                ids, ns, sides = [], [], []
-                for i, n, v in ((ids_a, ns_a, vectors_a), (ids_b, ns_b, vectors_b)):
-                    ids.append(np.frombuffer(i, np.int64))
-                    ns.append(np.frombuffer(n, np.int64))
-                    sides.append(units(np.frombuffer(v, kind).reshape(len(ids[-1]), -1).astype(np.float64)))
-                links = sides[0] @ sides[1].T >= threshold
-                if a == b:
-                    np.fill_diagonal(links, False)
+            for at in range(batch.num_rows):
+                row = {c: batch.column(c)[at].as_py() for c in ("visitor", "inside", *blobs)}
+                if not row["visitor"]:
+                    host = unpacked(row)
+                    continue
+                ids, ns, vectors = unpacked(row)
+                links = vectors @ host[2].T >= threshold
+                if row["inside"]:
+                    # Both are of one cell: of two vectors, the one with the lower number visits the other.
+                    links &= ids[:, None] < host[0][None]
                 x, y = np.nonzero(links)
                 if not len(x):
                     continue
-                if a == b:
-                    names, degree, edges = ids[0], links @ ns[0], (x, y)
-                else:
-                    names = np.concatenate(ids)
-                    degree = np.concatenate((links @ ns[1], ns[0] @ links))
-                    edges = (x, y + len(ids[0]))
-                label = forest(len(names), *edges)
-                at = np.flatnonzero(degree)
-                yield pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(degree[at]), pa.array(names[label[at]])], schema=schema)
+                names = np.concatenate((ids, host[0]))
+                degree = np.concatenate((links @ host[1], ns @ links))
+                label = forest(len(names), x, y + len(ids))
+                some = np.flatnonzero(degree)
+                yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(degree[some]), pa.array(names[label[some]])], schema=schema)
 
-    wanted = both.select("a", "b", *[f"{c}_{s}" for s in "ab" for c in ("ids", "ns", "vectors")])
-    return written(wanted.mapInArrow(run, "id long, n long, label long"), "vector-links")
+    return written(dealt.mapInArrow(run, "id long, n long, label long"), "vector-links")
 
 
 def _sample(classes: DataFrame, count: int) -> np.ndarray:
@@ -242,7 +258,7 @@ def near_duplicates(
     for dim, count in sorted(tuple(r) for r in classes.groupBy("dim").count().collect()):
         mine = classes.filter(F.col("dim") == dim)
         index = fit(_sample(mine, count), count, threshold, recall)
-        some = _linked(_chunks(_assigned(mine, index, dim), index, kind), kind, threshold)
+        some = _linked(_parcels(_assigned(mine, index, dim), index, kind), kind, threshold)
         found = some if found is None else found.unionByName(some)
     if found is None:
         found = classes.select("id", "n", F.col("id").alias("label"))
