@@ -1,6 +1,24 @@
 """Equivalent SQL, for the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+             f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+               CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to FROM f""",
+    "op3_multi_index": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+                 WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= 0.95),
+        reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+               vec_id <= coalesce(low, vec_id) AS kept
+        FROM embeddings LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) d ON d.a = vec_id
+        LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) r ON r.a = vec_id""",
     "op10_exact_dedup": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS s FROM documents),
