@@ -7,11 +7,21 @@ changing a document never touches the stored weights of the others.
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NON_LETTERS = r"[^\p{L}]+"
 
+# Tasks get these functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters."""
@@ -23,34 +33,26 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())])))
+def _counted(words: pa.Array) -> pa.Array:
+    """Different words of each row in order, and how often each occurs; none for a missing row."""
+    rows = len(words)
+    lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = words.flatten().dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    wide = max(len(order), 1)
+    keys, times = np.unique(np.repeat(np.arange(rows), lengths) * wide + rank[coded.indices.to_numpy(zero_copy_only=False)], return_counts=True)
+    terms = coded.dictionary.take(pa.array(order)).take(pa.array(keys % wide))
+    entries = pa.StructArray.from_arrays([terms, pa.array(times.astype(np.int32))], ["term", "tf"])
+    offsets = np.searchsorted(keys // wide, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), entries)
+
+
 def term_counts(text: Column) -> Column:
-    """``array<struct<term, tf>>`` of a text, without a shuffle.
-
-    The tokens are sorted; a term's count is the distance between the positions
-    at which it and the next term start.
-    """
-
-    def runs(words: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(words) - 1),
-            lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)),
-        )
-        return bind(
-            starts,
-            lambda begin: F.transform(
-                begin,
-                lambda p, j: F.struct(
-                    F.get(words, p).alias("term"),
-                    (F.coalesce(F.get(begin, j + 1), F.size(words)) - p).alias("tf"),
-                ),
-            ),
-        )
-
-    none = F.array().cast("array<struct<term:string,tf:int>>")
-    return bind(
-        F.coalesce(F.sort_array(tokens(text)), F.array().cast("array<string>")),
-        lambda words: F.when(F.size(words) > 0, runs(words)).otherwise(none),
-    )
+    """``array<struct<term, tf>>`` of a text, terms in order, without a shuffle: counted per Arrow batch."""
+    return _counted(tokens(text))
 
 
 def log_tf(tf: Column) -> Column:

@@ -78,21 +78,25 @@ def ticket_weight(tables) -> DataFrame:
     )
 
 
-def buyers(tables, only: DataFrame) -> DataFrame:
-    """Number of orders per customer and product name and category, for some customers.
+def bought(tables) -> DataFrame:
+    """Number of orders per customer and product name and category.
 
-    ``only`` holds one row per customer; its other columns are carried along. Order
-    lines are reduced to one per customer and product before they meet the customers or
-    the product table, where either may be hot; only those keys are shuffled.
+    Order lines are reduced to one per customer and product before they meet the product
+    table, where a product may be hot; only those keys are shuffled.
     """
     lines = tables.purchases("customer_id", "product_id", "product_name")
-    bought = lines.groupBy("customer_id", "product_id", "product_name").agg(rows().alias("orders"))
-    named = (
-        bought.join(tables.products("product_id", "category"), "product_id")
+    per_product = lines.groupBy("customer_id", "product_id", "product_name").agg(rows().alias("orders"))
+    return (
+        per_product.join(tables.products("product_id", "category"), "product_id")
         .groupBy("customer_id", "product_name", "category")
         .agg(F.sum("orders").alias("orders"))
     )
-    return named.join(only, "customer_id").select("customer_id", "product_name", "category", *[c for c in only.columns if c != "customer_id"], "orders")
+
+
+def buyers(tables, only: DataFrame) -> DataFrame:
+    """``bought`` for the customers of ``only``, one row each, whose other columns are carried along."""
+    carried = [c for c in only.columns if c != "customer_id"]
+    return bought(tables).join(only, "customer_id").select("customer_id", "product_name", "category", *carried, "orders")
 
 
 def correlation_metrics(tables, repeat_orders: bool = True) -> DataFrame:

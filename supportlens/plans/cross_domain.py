@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from supportlens.functions.expressions import rounded, rows
+from supportlens.functions.expressions import priority_score, rounded, rows
 from supportlens.operators import customer, product, revenue, support
 from supportlens.operators.checks import union_all
 from supportlens.operators.text_index import TextIndex, matching
@@ -50,34 +50,38 @@ def critical_recent_customers(tables, category: str = "Performance", min_churn:
     return tables.customers(*PROFILE).join(filed, "customer_id").withColumn("at_risk", F.col("churn_risk_score") >= min_churn)
 
 
-def ticket_themes(tables) -> DataFrame:
-    """Most frequent ticket category of the buyers of each product name and category."""
-    filed = (
-        tables.support_tickets("customer_id", "category").groupBy("customer_id", F.col("category").alias("theme")).agg(rows().alias("tickets"))
+def ticket_load(tables) -> DataFrame:
+    """Tickets of the buyers of each product name and category: number, mean priority score and most frequent category.
+
+    Tickets are reduced to one row per customer and category, so that buyers and tickets are joined once for all three.
+    """
+    scored = tables.support_tickets("customer_id", "category", "priority").withColumn("score", priority_score(F.col("priority")))
+    filed = scored.groupBy("customer_id", F.col("category").alias("theme")).agg(
+        rows().alias("tickets"), F.sum("score").alias("score_sum"), F.count("score").alias("score_n")
     )
     per_theme = (
-        product.buyers(tables, filed.select("customer_id").distinct()).join(filed, "customer_id")
+        product.bought(tables).join(filed, "customer_id")
         .groupBy("product_name", "category", "theme")
-        .agg(F.sum(F.col("tickets") * F.col("orders")).alias("n"))
+        .agg(*[F.sum(F.col(c) * F.col("orders")).alias(c) for c in ("tickets", "score_sum", "score_n")])
     )
     return per_theme.groupBy("product_name", "category").agg(
-        F.min(F.struct((-F.col("n")).alias("negative"), "theme")).alias("top")
-    ).select("product_name", "category", F.col("top.theme").alias("top_theme"), (-F.col("top.negative")).alias("theme_tickets"))
-
+        F.sum("tickets").alias("total_tickets_from_buyers"),
+        rounded(F.sum("score_sum") / F.nullif(F.sum("score_n"), F.lit(0)), 2).alias("avg_ticket_priority_score"),
+        F.min(F.struct((-F.col("tickets")).alias("negative"), "theme"))["theme"].alias("top_theme"),
+    )
 
 
 def product_action_plan(tables, limit: int | None = None) -> DataFrame:
     """Products by a combined score of bad reviews, defects and ticket priority, worst first."""
     reviews = product.review_metrics(tables).select("product_id", "total_reviews", "avg_rating", "one_star_pct")
     defects = product.defect_profiles(tables).select("product_id", "product_name", "category", "defect_rate")
-    load = product.correlation_metrics(tables)
+    load = ticket_load(tables)
     urgency: Column = (
         20 * (5 - F.col("avg_rating")) + 500 * F.col("defect_rate") + 10 * F.coalesce("avg_ticket_priority_score", F.lit(0.0))
     )
     plan = (
         reviews.join(defects, "product_id")
         .join(load, ["product_name", "category"], "left")
-        .join(ticket_themes(tables), ["product_name", "category"], "left")
         .select(
             "product_id", "product_name", "category", "total_reviews", "avg_rating", "one_star_pct", "defect_rate",
             F.coalesce("total_tickets_from_buyers", F.lit(0)).alias("buyer_tickets"), "top_theme",

@@ -29,8 +29,9 @@ class Tool:
     tail: str = ""
     params: dict[str, str] = field(default_factory=dict)
     sources: tuple[str, ...] = ()
-    # A whole body over {view}, where selecting from the relation is not enough.
+    # A whole body over {view}, where selecting from the relation is not enough, and whether it has other columns.
     body: str = ""
+    reshaped: bool = False
 
     @property
     def view(self) -> str:
@@ -59,8 +60,11 @@ TOOLS = [
         "get_at_risk_customers", "customer",
         "The 25 customers with the highest churn risk at or above a threshold between 0 and 1.",
         customer.at_risk_customers, customer.risk_profiles,
-        f"WHERE churn_risk_score >= min_churn_risk ORDER BY churn_risk_score DESC, customer_id LIMIT {customer.TOP_AT_RISK}",
-        {"min_churn_risk": "DOUBLE"}, ("customers",),
+        "", {"min_churn_risk": "DOUBLE"}, ("customers",),
+        # The keys that make the list come first; the rest is looked up for them.
+        "SELECT v.* FROM (SELECT customer_id AS chosen FROM customers WHERE churn_risk_score >= min_churn_risk "
+        f"ORDER BY churn_risk_score DESC, customer_id LIMIT {customer.TOP_AT_RISK}) JOIN {{view}} v ON v.customer_id = chosen "
+        "ORDER BY churn_risk_score DESC, customer_id",
     ),
     Tool(
         "get_customers_by_industry", "customer",
@@ -100,7 +104,7 @@ TOOLS = [
         {"max_first_response_min": "DOUBLE", "max_resolution_hours": "DOUBLE"}, ("support_tickets",),
         f"SELECT category, priority, {_aliased(support.SLA_MEASURES)} "
         f"FROM (SELECT category, priority, {_aliased(support.sla_flags('max_first_response_min', 'max_resolution_hours'))} FROM {{view}}) "
-        "GROUP BY category, priority ORDER BY breach_rate_pct DESC, category, priority",
+        "GROUP BY category, priority ORDER BY breach_rate_pct DESC, category, priority", True,
     ),
     Tool(
         "get_product_defect_rates", "product",
@@ -169,7 +173,7 @@ def register_sql(tables, names: list[str] | None = None) -> None:
         relation.createOrReplaceTempView(tool.view)
         body = tool.body.format(view=tool.view) or f"SELECT * FROM {tool.view} {tool.tail}".strip()
         schema = relation.schema
-        if tool.body:
+        if tool.reshaped:
             # Called with neutral values only to learn the output columns; nothing runs.
             schema = tool.call(tables, **{name: 0.0 if kind == "DOUBLE" else "[]" for name, kind in tool.params.items()}).schema
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
@@ -191,9 +195,11 @@ def registered(spark: SparkSession) -> list[str]:
 
 
 def tool_registry(tables) -> DataFrame:
-    """Every table function with its area, its parameters and the number of rows it reads."""
+    """Every table function that the session's catalog holds once they are registered, with its area, its parameters
+    and the number of rows it reads."""
     spark = tables.spark
-    links = [(t.name, t.area, len(t.params), table) for t in TOOLS for table in t.sources]
+    register_sql(tables)
+    links = [(t.name, t.area, len(t.params), table) for t in map(BY_NAME.get, registered(spark)) for table in t.sources]
     listing = spark.createDataFrame(links, "tool string, area string, n_params int, table_name string")
     counts = table_counts(tables).where(F.col("table_name").isNotNull())
     return (
