@@ -23,9 +23,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     languages by, and documents with letters stay.
     """
     model = language.train(docs)
-    found = language.identify(docs.select("*", F.col("text").alias("_llm_judged")), model, "_llm_judged")
-    told = F.col("lang_pred") != language.UNKNOWN if model.languages else F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return found.filter(told).select(*docs.columns)
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    found = docs.withColumn("_llm_lang", language.prediction(spark, model, F.col("text")))
+    return found.filter(F.col("_llm_lang.lang_pred") != language.UNKNOWN).drop("_llm_lang")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

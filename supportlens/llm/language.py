@@ -8,18 +8,20 @@ and a batch of texts is scored by multiplying its sparse counts with it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKETS, ORDER, SMOOTHING = 1 << 16, 4, 0.5
 UNKNOWN = "und"
 #: Characters whose n-grams are hashed at a time, so that memory doesn't grow with the length of a text.
 CHUNK = 1 << 18
+#: Buckets that a training task holds before it counts them.
+HELD = 1 << 21
 #: Odd multiplier that mixes a character into the hash of the characters before it.
 FACTOR = 0x9E3779B97F4A7C15
 
@@ -73,7 +75,7 @@ class LanguageModel:
     weights: np.ndarray
     priors: np.ndarray
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: Iterable[str | None]) -> tuple[list[str], list[float]]:
         """Most probable language of each text (the first of equal ones) and its posterior probability."""
         names, scores = [], []
         for text in texts:
@@ -98,6 +100,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
         sums: dict[str, np.ndarray] = {}
         texts: dict[str, int] = {}
         held: dict[str, list[np.ndarray]] = {}
+        size = 0
 
         def add(key: str) -> None:
             if held[key]:
@@ -110,8 +113,11 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
                 for found in buckets(value.as_py()):
                     some = True
                     held.setdefault(key, []).append(found)
-                    if len(held[key]) == 64:
-                        add(key)
+                    size += len(found)
+                    if size >= HELD:
+                        size = 0
+                        for other in held:
+                            add(other)
                 texts[key] = texts.get(key, 0) + some
         for key in held:
             add(key)
@@ -132,20 +138,23 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMo
     return LanguageModel(languages, np.ascontiguousarray(weights.T), np.log(per_text / max(per_text.sum(), 1)))
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1).
+def prediction(spark: SparkSession, model: LanguageModel, text: Column) -> Column:
+    """A struct of ``lang_pred`` and ``score`` (0 to 1) for a text, from the text alone."""
+    shared = spark.sparkContext.broadcast(model)
 
-    ``und`` with score 0 for a null text or one without a letter. Nothing but the text is an input. Rows are
-    scored one by one, so repeated rows get the same result and an empty table gives an empty one.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    @F.arrow_udf("lang_pred string, score double")
+    def score(texts: pa.Array) -> pa.Array:
+        names, scores = shared.value.predict(t.as_py() for t in texts)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    @F.pandas_udf("lang_pred string, score double")
-    def score(texts):
-        import pandas as pd
+    return score(text)
 
-        names, scores = shared.value.predict([t if isinstance(t, str) else None for t in texts])
-        return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    found = score(F.col(text))
-    return docs.withColumn("_llm_lang", found).select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], "_llm_lang.lang_pred", "_llm_lang.score")
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, in place of columns of these names.
+
+    ``und`` with score 0 for a null text or one without a letter. Rows are scored one by one, so repeated rows get
+    the same result and an empty table gives an empty one.
+    """
+    found = docs.withColumn("_llm_lang", prediction(docs.sparkSession, model, F.col(text)))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], "_llm_lang.lang_pred", "_llm_lang.score")

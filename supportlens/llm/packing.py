@@ -144,15 +144,13 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", wi
     counts = {r["length"]: r["count"] for r in parts.groupBy("length").count().collect()}
     table = docs.sparkSession.sparkContext.broadcast(places(patterns(counts, window)))
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length, rank):
-        import pandas as pd
-
-        rows, wide = table.value, np.int64(1) << 48
-        at = np.searchsorted(rows[:, 0] * wide + rows[:, 1], length.to_numpy() * wide + rank.to_numpy(), "right") - 1
+    @F.arrow_udf("sequence_id long, offset long")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        rows, wide, long, number = table.value, np.int64(1) << 48, length.to_numpy(), rank.to_numpy()
+        at = np.searchsorted(rows[:, 0] * wide + rows[:, 1], long * wide + number, "right") - 1
         _, first, each, base, offset = rows[at].T
-        here = rank.to_numpy() - first
-        return pd.DataFrame({"sequence_id": base + here // each, "offset": offset + here % each * length.to_numpy()})
+        here = number - first
+        return pa.StructArray.from_arrays([pa.array(base + here // each), pa.array(offset + here % each * long)], ["sequence_id", "offset"])
 
     placed = ranked(parts).withColumn("place", place("length", "rank"))
     return placed.select(F.col("key").alias(key), "start", "length", "ids_crc32", "doc_tokens", "place.sequence_id", "place.offset")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of the broadcast table, documents it is fitted on at most, entries of a worker's cache.
-FREQUENT, SAMPLE, CACHED = 1 << 16, 4000, 400_000
+FREQUENT, SAMPLE, CACHED = 1 << 16, 4000, 1 << 18
 LIMIT = 2048
 
 

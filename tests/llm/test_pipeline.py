@@ -74,6 +74,17 @@ def check_copies(mixed, got):
     return check(got, [(r[0], r[1]) for r in mixed], 2048)
 
 
+def test_stages_leave_columns_with_clashing_names_alone(spark, tmp_path):
+    names = ["lang_pred", "score", "key", "size", "kept", "component", "name", "part", "rank", "hash", "fp"]
+    rows = [(1, "the cat sat on the mat", "en", "a"), (2, "the dog ran to the park", "en", "b"), (3, "der hund lief", "de", "a"), (None, "el gato", None, None), (3, "der hund lief", "de", "a")]
+    docs = spark.createDataFrame([(*r, *names) for r in rows], "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    docs.write.parquet(f"{tmp_path}/in")
+    out = stages(spark, spark.read.parquet(f"{tmp_path}/in"), str(tmp_path / "out"))
+    for df in out[:-1]:
+        assert df.columns == docs.columns and all(tuple(r)[4:] == tuple(names) for r in df.collect())
+    assert [df.count() for df in out[:4]] == [5, 5, 4, 4]
+
+
 def test_run_and_an_empty_table(spark, small_dir, tmp_path):
     got = pipeline.run(spark, small_dir)
     assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} == set(got.columns) and got.count() > 0
