@@ -160,11 +160,11 @@ def linked(key: np.ndarray, fps: np.ndarray) -> np.ndarray:
 
 def _compare(batches: Iterator[pa.RecordBatch], direct: int) -> Iterator[pa.RecordBatch]:
     """Links of rows (key, fp, open) that come sorted by key; rows of a key with too many come out again."""
-    names = ["a", "b", "key", "open"]
     held = None
 
-    def out(a, b, key, open_):
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.uint64).view(np.int64)) if x is not None else pa.nulls(n, pa.int64()) for n in [max(len(y) for y in (a, key) if y is not None)] for x in (a, b, key, open_)], names)
+    def out(*columns):
+        arrays = [pa.nulls(len(columns[0]), pa.int64()) if c is None else pa.array(c.view(np.int64)) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, ["a", "b", "key", "open"])
 
     def work(key, fps, open_):
         if not len(key):
