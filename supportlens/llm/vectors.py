@@ -2,10 +2,9 @@
 
 Two independent codebooks, one for each half of a vector, form a product grid; a vector lies in the cell of its
 nearest centroid pair. From a vector, cells are visited in the order of a multi-sequence: by the sum of the two
-halves' distances to the cell (squared distance to the boundary of the half's own region). The traversal stops at
-the sum that reaches the target recall for neighbours just at the threshold, as measured for a bounded sample of
-vectors and random neighbours of theirs; closer neighbours are found more often. All candidates are verified by
-their cosine in double precision.
+halves' distances to the cell (squared distance to the boundary of the half's own region). That sum is never more
+than the squared distance to a vector in the cell, which is 2 - 2 * cosine; the traversal stops above this value for
+the threshold, so that no link is lost. All candidates are verified by their cosine in double precision.
 
 Equal vectors are one class from the start. Cells are cut into chunks of bounded size, so that a cell with very many
 vectors is the work of many tasks. From each chunk, the vectors that visit a cell travel there together; of two cells
@@ -30,11 +29,15 @@ from supportlens.llm.rows import ROW, identified
 from supportlens.llm.simhash import forest
 from supportlens.session import written
 
-THRESHOLD, RECALL, SEED = 0.95, 0.999, 42
-#: Vectors that the codebooks and the stop of the traversal are fitted on, at most; everything else sees all vectors.
+THRESHOLD, SEED = 0.95, 42
+#: Room for rounding at the stop of the traversal; centroids that are closer than this aren't told apart by it.
+SLACK = 1e-6
+#: Vectors that the codebooks are fitted on, at most; everything else sees all vectors.
 SAMPLE = 8192
 #: Vectors per cell aimed at, centroids per half at most, rounds of k-means, vectors per chunk at most.
-CELL, CENTROIDS, ROUNDS, CHUNK = 200, 256, 10, 512
+CELL, CENTROIDS, ROUNDS, CHUNK = 2048, 256, 10, 2048
+#: Visitors compared with a chunk at a time.
+BLOCK = 512
 #: Groups of visitors that meet a chunk in one place; more are dealt out to copies of the chunk.
 VISITORS = 64
 
@@ -83,8 +86,8 @@ class MultiIndex:
         for half, book in zip(self.halves(vectors), self.books, strict=True):
             square = squares(half, book)
             own = square.argmin(axis=1)
-            gap = np.sqrt(np.maximum(squares(book, book), 0))
-            gap[gap == 0] = 1
+            gap = np.array([np.sqrt(((book - centre) ** 2).sum(axis=1)) for centre in book])
+            gap[gap < SLACK] = np.inf
             out.append((np.maximum(square - square.min(axis=1, keepdims=True), 0) / (2 * gap[own])) ** 2)
             cell = cell * len(book) + own
         return cell, out
@@ -103,22 +106,12 @@ class MultiIndex:
         return out
 
 
-def fit(sample: np.ndarray, count: int, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = SEED) -> MultiIndex:
-    """Codebooks for ``count`` vectors, and the stop for the target recall of neighbours at the threshold."""
+def fit(sample: np.ndarray, count: int, threshold: float = THRESHOLD, seed: int = SEED) -> MultiIndex:
+    """Codebooks for ``count`` vectors, and the stop that no neighbour at the threshold lies beyond."""
     rng = np.random.default_rng(seed)
     wide = int(np.clip(2 ** round(np.log2(max(1.0, (count / CELL) ** 0.5))), 2, CENTROIDS))
-    empty = MultiIndex((sample[:0], sample[:0]), 0.0)
-    books = tuple(kmeans(half, wide, rng) for half in empty.halves(sample))
-    index = MultiIndex(books, 0.0)
-    start = np.repeat(sample, max(1, 4096 // len(sample)), axis=0)
-    aside = rng.normal(size=start.shape)
-    aside -= np.einsum("ij,ij->i", aside, start)[:, None] * start
-    length = np.sqrt(np.einsum("ij,ij->i", aside, aside))[:, None]
-    near = threshold * start + np.sqrt(1 - threshold**2) * aside / np.where(length == 0, 1, length)
-    _, (first, second) = index.distances(start)
-    cell, _ = index.distances(near)
-    at = np.arange(len(start))
-    return MultiIndex(books, float(np.quantile(first[at, cell // len(books[1])] + second[at, cell % len(books[1])], recall, method="higher")))
+    empty = MultiIndex((sample[:0], sample[:0]), 2 - 2 * threshold + SLACK)
+    return MultiIndex(tuple(kmeans(half, wide, rng) for half in empty.halves(sample)), empty.stop)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -174,6 +167,24 @@ def _parcels(assigned: DataFrame, index: MultiIndex, kind: str) -> DataFrame:
     return written(dealt.mapInArrow(run, PARCEL), "vector-parcels")
 
 
+def linked(vectors: np.ndarray, others: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of unit vectors whose product reaches the threshold.
+
+    Products in single precision, with room for their largest possible error, choose the rows to be computed in double.
+    """
+    single, least = others.astype(np.float32).T, threshold - (vectors.shape[1] + 8) * 2.0**-23
+    x, y = [], []
+    for start in range(0, len(vectors), BLOCK):
+        block = vectors[start : start + BLOCK]
+        rows = np.flatnonzero((block.astype(np.float32) @ single).max(axis=1) >= least)
+        if len(rows):
+            row, column = np.nonzero(block[rows] @ others.T >= threshold)
+            x.append(start + rows[row])
+            y.append(column)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *x]), np.concatenate([none, *y])
+
+
 def _linked(parcels: DataFrame, kind: str, threshold: float) -> DataFrame:
     """(id, n, label): how many vectors a class is linked to outside itself, and a smaller class it is connected to."""
     chunks = parcels.filter("NOT visitor")
@@ -205,15 +216,16 @@ def _linked(parcels: DataFrame, kind: str, threshold: float) -> DataFrame:
                     host = unpacked(row)
                     continue
                 ids, ns, vectors = unpacked(row)
-                links = vectors @ host[2].T >= threshold
+                x, y = linked(vectors, host[2], threshold)
                 if row["inside"]:
                     # Both are of one cell: of two vectors, the one with the lower number visits the other.
-                    links &= ids[:, None] < host[0][None]
-                x, y = np.nonzero(links)
+                    lower = ids[x] < host[0][y]
+                    x, y = x[lower], y[lower]
                 if not len(x):
                     continue
                 names = np.concatenate((ids, host[0]))
-                degree = np.concatenate((links @ host[1], ns @ links))
+                # Sums of whole numbers, exact in double precision.
+                degree = np.concatenate((np.bincount(x, host[1][y], len(ids)), np.bincount(y, ns[x], len(host[0])))).astype(np.int64)
                 label = forest(len(names), x, y + len(ids))
                 some = np.flatnonzero(degree)
                 yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(degree[some]), pa.array(names[label[some]])], schema=schema)
@@ -232,7 +244,7 @@ def _sample(classes: DataFrame, count: int) -> np.ndarray:
 
 
 def near_duplicates(
-    table: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, recall: float = RECALL,
+    table: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Links between vectors whose cosine is ``threshold`` or more, and their groups.
 
@@ -257,7 +269,7 @@ def near_duplicates(
     found = None
     for dim, count in sorted(tuple(r) for r in classes.groupBy("dim").count().collect()):
         mine = classes.filter(F.col("dim") == dim)
-        index = fit(_sample(mine, count), count, threshold, recall)
+        index = fit(_sample(mine, count), count, threshold)
         some = _linked(_parcels(_assigned(mine, index, dim), index, kind), kind, threshold)
         found = some if found is None else found.unionByName(some)
     if found is None:

@@ -64,6 +64,17 @@ def test_recall_of_a_small_budget(spark, monkeypatch):
     assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
 
 
+@pytest.mark.parametrize("rank, noise", [(4, 0.0), (6, 0.02)])
+def test_no_link_of_low_rank_vectors_is_lost(spark, monkeypatch, rank, noise):
+    monkeypatch.setattr(vectors, "CELL", 12)
+    rng = np.random.default_rng(rank)
+    points = rng.normal(size=(3000, rank)) @ rng.normal(size=(rank, 64)) + noise * rng.normal(size=(3000, 64))
+    got = dict(r[:2] for r in run(spark, list(enumerate(points.tolist()))))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    want = (points @ points.T >= 0.95).sum(axis=1) - 1
+    assert want.sum() > 0 and [got[i] for i in range(len(points))] == want.tolist()
+
+
 def test_unusable_equal_scaled_and_repeated_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
