@@ -101,11 +101,12 @@ def place_in_lists(index: DataFrame, key: str, vector: str, list_id: str) -> tup
     """
     spark = index.sparkSession
     ids, centroids = _centroids(index, vector, list_id)
-    schema = T.StructType([T.StructField(list_id, index.schema[list_id].dataType), T.StructField("place", T.IntegerType())])
+    schema = T.StructType([T.StructField("_list", index.schema[list_id].dataType), T.StructField("place", T.IntegerType())])
     # At most MAX_LISTS rows.
     places = F.broadcast(spark.createDataFrame([(v, i) for i, v in enumerate(ids)], schema))
     listed = index.select(F.col(key).alias("neighbour_id"), F.col(vector).cast("array<double>").alias("vector"), list_id)
-    listed = listed.join(places, list_id).select("neighbour_id", "vector", "place")
+    # Rows without a list are a list of their own.
+    listed = listed.join(places, F.col(list_id).eqNullSafe(F.col("_list"))).select("neighbour_id", "vector", "place")
     angled = written(
         listed.mapInArrow(_angles(centroids), T.StructType([*listed.schema, T.StructField("angle", T.DoubleType())])),
         "knn-index",

@@ -146,6 +146,16 @@ def test_exact_neighbours_of_other_vectors(spark):
     assert pairs(found) == brute_neighbours(queries, vectors, 10, False)
 
 
+@pytest.mark.parametrize("without", [lambda i: i % 5 == 0, lambda i: True])
+def test_rows_without_a_list_are_neighbours(spark, without):
+    vectors, labels = clustered(120, 8, 0.5, 5)
+    rows = [(i, [float(x) for x in v], None if without(i) else int(label)) for i, (v, label) in enumerate(zip(vectors, labels, strict=True))]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label int")
+    assert pairs(vector_search.knn_exact(df, df, "id", "v", "label", k=4, exclude_self=True)) == brute_neighbours(vectors, vectors, 4, True)
+    found = vector_search.knn_approximate(df, df, "id", "v", "label", k=4, probes=8, exclude_self=True)
+    assert pairs(found) == brute_neighbours(vectors, vectors, 4, True)
+
+
 def test_second_round_skips_cells_that_are_too_far(spark):
     vectors, labels = clustered(400, 8, 0.4, 6)
     _, lists = vector_search.place_in_lists(frame(spark, vectors, labels), "id", "v", "label")
