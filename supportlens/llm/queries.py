@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens.llm import chat, exact, language, lm, mixing, packing, simhash, tokens, vectors, warc
+from supportlens.llm import bpe, chat, exact, language, lm, mixing, packing, simhash, tokens, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,10 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     found = exact.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op11_byte_bpe")
+def op11(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return bpe.digests(found.select("doc_id", "ids"), path)
