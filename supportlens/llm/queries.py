@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from supportlens.llm import bpe, chat, exact, language, lm, mixing, packing, simhash, tokens, vectors, warc
+from supportlens.llm import bpe, chat, exact, language, lm, merkle, mixing, packing, resample, simhash, tokens, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,25 @@ def op11(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     found = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return bpe.digests(found.select("doc_id", "ids"), path)
+
+
+def tampered(docs: DataFrame, depth: int = merkle.DEPTH) -> DataFrame:
+    """The manifest of documents, checked against texts of which a third has been changed: A to Z lower-cased where 3
+    divides the CRC-32 of the id. Null texts and ids aren't changed."""
+
+    def other(rows: DataFrame):
+        changed = [merkle.lowered(F.col(f)) if f == "text" else F.col(f) for f in merkle.FIELDS]
+        return F.when((language.crc(F.col("doc_id")) % 3 == 0) & F.col("text").isNotNull(), merkle.record_hash(*changed))
+
+    found = merkle.verified(merkle.manifest(docs, also=other, depth=depth)).withColumn("proof_sha256", merkle.proof_hash(F.col("proof")))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("op12_merkle_manifest")
+def op12(spark, sf_dir):
+    return tampered(table(spark, sf_dir, "documents"))
+
+
+@query("op13_importance_resampling")
+def op13(spark, sf_dir):
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
