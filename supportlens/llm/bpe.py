@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from supportlens.llm.tokens import Cache
 
 #: Entries of each cache; longer keys aren't kept.
-CACHED, KEPT_CHARS = 200_000, 48
+CACHED, KEPT_CHARS = 400_000, 48
+MARKS = ".,;:!?)"
 #: Bytes of text after which a batch of results is handed on, and after which a text is encoded in parts.
 HANDED, PART_CHARS = 1 << 20, 1 << 16
 
-_odd_blanks = re.compile(r" \s|\s \Z").search
+_two_blanks = re.compile(r" \s").search
 _single_blank = re.compile(r"(?<!\s) (?!\s|\Z)")
 
 
@@ -78,36 +79,69 @@ def bpe_model(ranks: dict[bytes, int]):
     return models.BPE(vocab={as_characters(t): r for t, r in ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0)
 
 
+class _Words(Cache):
+    """Pieces after a blank. A word and the one mark behind it are two matches, which aren't kept together."""
+
+    def __missing__(self, piece: str) -> bytes:
+        word = piece[:-1]
+        if word.isalpha() and piece.isascii() and piece[-1] in MARKS:
+            return self[word] + self.marks[piece[-1]]
+        return super().__missing__(piece)
+
+
 class Pieces:
     """Ids of texts, as 32-bit numbers, by the pieces between blanks and the matches of the pattern in them.
 
     The pattern begins a new match at a blank between two other characters, so a text is cut there; any other white
-    space stays inside a piece. ``whole``, if given, encodes pieces that hold ``mark``.
+    space stays inside a piece. Pieces that hold one of ``special`` strings are encoded by ``whole``.
     """
 
-    def __init__(self, model, pattern: str, mark: str | None = None, whole: Callable[[str], list[int]] | None = None):
+    def __init__(self, model, pattern: str, special: tuple[str, ...] = (), whole: Callable[[str], list[int]] | None = None):
         self.tokenize, self.findall = model.tokenize, regex.compile(pattern).findall
-        self.mark, self.whole = mark, whole
-        self.matches = Cache(self._match, CACHED)
+        self.special, self.whole = special, whole
+        self.blank = byte_characters()[32]
+        self.plain = self.findall("ab cd, ef" + MARKS) == ["ab", " cd", ",", " ef", MARKS] and not any(m in MARKS for m in special)
+        self.matches = Cache(self._match, CACHED // 2)
         self.first = Cache(self._piece, CACHED // 8)
-        self.later = Cache(lambda piece: self._piece(" " + piece), CACHED)
+        self.later = (_Words if self.plain else Cache)(self._later, CACHED)
+        self.later.marks = self.matches
 
     def _match(self, match: str) -> bytes:
-        return array("I", [t.id for t in self.tokenize(as_characters(match.encode("utf-8", "replace")))]).tobytes()
+        if match.isascii() and match.isprintable():
+            shown = match.replace(" ", self.blank)
+        else:
+            shown = as_characters(match.encode("utf-8", "replace"))
+        return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
+
+    def _later(self, piece: str) -> bytes:
+        """Ids of a piece with the blank before it."""
+        return self._match(" " + piece) if self._is_word(piece) else self._piece(" " + piece)
+
+    def _is_word(self, piece: str) -> bool:
+        return self.plain and piece.isascii() and piece.isalpha()
 
     def _piece(self, piece: str) -> bytes:
-        if self.mark is not None and self.mark in piece:
+        if any(s in piece for s in self.special):
             return array("I", self.whole(piece)).tobytes()
-        return b"".join(self.matches[m] if len(m) <= KEPT_CHARS else self._match(m) for m in self.findall(piece))
+        return b"".join(map(self._of_piece, self.findall(piece)))
+
+    def _of_piece(self, match: str) -> bytes:
+        if len(match) > KEPT_CHARS:
+            return self._match(match)
+        return self.later[match[1:]] if match[0] == " " and self._is_word(match[1:]) else self.matches[match]
 
     def _part(self, text: str, begins: bool) -> Iterator[bytes]:
-        pieces = _single_blank.split(text) if _odd_blanks(text) else text.split(" ")
+        odd = _two_blanks(text) or text[-1:] == " " and text[-2:-1].isspace()
+        pieces = _single_blank.split(text) if odd else text.split(" ")
         if begins:
             yield self.first[pieces[0]] if len(pieces[0]) <= KEPT_CHARS else self._piece(pieces[0])
             del pieces[0]
         later = self.later
-        for piece in pieces:
-            yield later[piece] if len(piece) <= KEPT_CHARS else self._piece(" " + piece)
+        if max(map(len, pieces), default=0) <= KEPT_CHARS:
+            yield from map(later.__getitem__, pieces)
+        else:
+            for piece in pieces:
+                yield later[piece] if len(piece) <= KEPT_CHARS else self._piece(" " + piece)
 
     def encoded(self, text: str) -> bytes:
         """Ids of a text; a very long one is cut at single blanks first, so that its pieces aren't all held at once."""

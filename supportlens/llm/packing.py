@@ -9,18 +9,20 @@ the number of documents, are broadcast; a remainder's place in them follows from
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from supportlens.llm.bpe import Pieces
 from supportlens.llm.rows import ROW, identified
-from supportlens.llm.tokens import Cache, tokenizer
+from supportlens.llm.tokens import tokenizer
 from supportlens.session import written
 
 WINDOW, END = 2048, 1
@@ -30,22 +32,19 @@ ID = "<u4"
 
 
 @cache
-def _ids(path: str, lead: str) -> Cache:
-    encode = tokenizer(path).encode
-    return Cache(lambda piece: np.array(encode(lead + piece, add_special_tokens=False).ids, ID).tobytes())
+def _pieces(path: str) -> Pieces:
+    """The encoder of a byte-level tokenizer, once in each process."""
+    found = tokenizer(path)
+    parts = json.loads(found.to_str())
+    if parts["normalizer"] or (parts["pre_tokenizer"] or {}).get("type") != "ByteLevel" or parts["pre_tokenizer"]["add_prefix_space"]:
+        raise ValueError(f"not a plain byte-level tokenizer: {path}")
+    special = tuple(t["content"] for t in parts["added_tokens"])
+    return Pieces(found.model, public_tokenizers.PATTERN, special, lambda piece: found.encode(piece, add_special_tokens=False).ids)
 
 
 def token_bytes(text: str, path: str) -> bytes:
-    """Ids of a text as 32-bit little-endian numbers.
-
-    The tokenizer starts a new token at a blank between two other characters, so a text is looked up piece by
-    piece there; any other white space stays inside a piece.
-    """
-    if re.search(r" \s", text) or text[-1:] == " " and text[-2:-1].isspace():
-        pieces = re.split(r"(?<!\s) (?!\s|\Z)", text)
-    else:
-        pieces = text.split(" ")
-    return _ids(path, "")[pieces[0]] + b"".join(map(_ids(path, " ").__getitem__, pieces[1:]))
+    """Ids of a text as 32-bit little-endian numbers."""
+    return _pieces(path).encoded(text)
 
 
 def pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", window: int = WINDOW, end: int = END) -> DataFrame:
