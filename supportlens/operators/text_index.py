@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supportlens.functions.params import MAX_INLINE
@@ -41,10 +41,11 @@ def text_vectors(docs: DataFrame, text: str) -> DataFrame:
     )
 
 
-def postings_of(vectors: DataFrame, key: str) -> DataFrame:
-    """One row per document and term. ``vectors`` should be a stored table."""
-    exploded = vectors.select(key, "norm", F.explode("counts").alias("c"))
-    return exploded.select(F.col("c.term").alias("term"), key, (log_tf(F.col("c.tf")) / F.col("norm")).alias("weight"))
+def postings_of(vectors: DataFrame, key: str, *more: Column) -> DataFrame:
+    """One row per document and term, with more columns of the document. ``vectors`` should be a stored table."""
+    exploded = vectors.select(key, "norm", F.explode("counts").alias("c"), *more)
+    kept = [c for c in exploded.columns if c not in (key, "norm", "c")]
+    return exploded.select(F.col("c.term").alias("term"), key, (log_tf(F.col("c.tf")) / F.col("norm")).alias("weight"), *kept)
 
 
 @dataclass(frozen=True)

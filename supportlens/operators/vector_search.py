@@ -1,4 +1,4 @@
-"""Nearest neighbours over unit-length vectors: one query, all queries, exact or approximate.
+"""Nearest neighbours by inner product: one query, all queries, exact or approximate. Vectors may have any length.
 
 The index is split into lists around centroids, and large lists into rings by the
 angle to their centroid. A list or ring may hold a third of all vectors, so these
@@ -7,7 +7,11 @@ pair of chunks is scored by matrix products and keeps only its k best per query.
 
 The exact join probes each query's nearest list first. The k-th score found there
 rules out every cell whose best possible score, from the triangle inequality on
-angles, is lower; the remaining cells are probed in a second round.
+angles and the lengths of its vectors, is lower; the remaining cells are probed in
+a second round.
+
+Rows whose vector is null, zero, holds a null or a value that isn't finite, or has
+another number of dimensions than most of the index, are neither asked nor found.
 """
 
 from __future__ import annotations
@@ -57,11 +61,33 @@ class Lists:
     """Centroids of the lists, and reach and size of their cells.
 
     Cell ``c`` belongs to list ``list_of[c]`` and holds ``sizes[c]`` vectors whose
-    angle to the centroid is between ``inner[c]`` and ``outer[c]``.
+    angle to the centroid is between ``inner[c]`` and ``outer[c]`` and whose length
+    is between ``short[c]`` and ``long[c]``.
     """
 
-    def __init__(self, centroids: np.ndarray, list_of: np.ndarray, inner: np.ndarray, outer: np.ndarray, sizes: np.ndarray):
+    def __init__(self, centroids: np.ndarray, list_of: np.ndarray, inner: np.ndarray, outer: np.ndarray, sizes: np.ndarray, short: np.ndarray, long: np.ndarray):
         self.centroids, self.list_of, self.inner, self.outer, self.sizes = centroids, list_of, inner, outer, sizes
+        self.short, self.long = short, long
+
+
+def usable(vectors: DataFrame, vector: str, dims: int | None = None) -> tuple[DataFrame, int]:
+    """The rows that can be compared, their vectors as doubles, and the number of dimensions: the most frequent one."""
+    cast = vectors.withColumn(vector, F.col(vector).cast("array<double>"))
+    sums = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + F.abs(x))
+    # Null if a component is; not below infinity if one isn't finite.
+    finite = cast.where((sums > 0) & (sums < float("inf")))
+    if dims is None:
+        counted = finite.groupBy(F.size(vector).alias("dims")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dims").first()
+        dims = counted["dims"] if counted else 0
+    return finite.where(F.size(vector) == dims), dims
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows at length one; zero rows at the first axis."""
+    length = np.linalg.norm(rows, axis=1, keepdims=True)
+    out = rows / np.where(length > 0, length, 1.0)
+    out[length[:, 0] == 0, :1] = 1.0
+    return out
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
@@ -70,14 +96,18 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
-def _centroids(index: DataFrame, vector: str, list_id: str) -> tuple[list, np.ndarray]:
+def _centroids(index: DataFrame, vector: str, list_id: str, dims: int) -> tuple[list, np.ndarray]:
     doubles = F.col(vector).cast("array<double>")
     means = index.groupBy(list_id).agg(vector_to_array(Summarizer.mean(array_to_vector(doubles))).alias("mean"))
-    found = means.orderBy(list_id).limit(MAX_LISTS + 1).collect()
-    if len(found) > MAX_LISTS:
-        raise ValueError(f"more than {MAX_LISTS} lists; use fewer, larger lists")
-    centroids = np.array([r["mean"] for r in found])
-    return [r[list_id] for r in found], centroids / np.linalg.norm(centroids, axis=1, keepdims=True)
+    found = means.orderBy(list_id).collect()
+    return [r[list_id] for r in found], _unit(np.array([r["mean"] for r in found]).reshape(len(found), max(dims, 1)))
+
+
+def bounded_lists(index: DataFrame, list_id: str) -> DataFrame:
+    """``index`` with at most ``MAX_LISTS`` lists and one for rows without: of more, some are put together by hash."""
+    if index.select(list_id).distinct().limit(MAX_LISTS + 2).count() <= MAX_LISTS + 1:
+        return index
+    return index.withColumn(list_id, F.when(F.col(list_id).isNotNull(), F.pmod(F.xxhash64(list_id), F.lit(MAX_LISTS))))
 
 
 def _angles(centroids: np.ndarray):
@@ -87,8 +117,9 @@ def _angles(centroids: np.ndarray):
         for batch in batches:
             vectors = _matrix(batch.column("vector"), centroids.shape[1])
             place = batch.column("place").to_numpy(zero_copy_only=False)
-            angle = np.arccos(np.clip(np.einsum("ij,ij->i", vectors, centroids[place]), -1.0, 1.0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(angle)], names=[*batch.schema.names, "angle"])
+            angle = np.arccos(np.clip(np.einsum("ij,ij->i", _unit(vectors), centroids[place]), -1.0, 1.0))
+            length = np.linalg.norm(vectors, axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(angle), pa.array(length)], names=[*batch.schema.names, "angle", "length"])
 
     return measure
 
@@ -100,15 +131,17 @@ def place_in_lists(index: DataFrame, key: str, vector: str, list_id: str) -> tup
     reads only those two columns.
     """
     spark = index.sparkSession
-    ids, centroids = _centroids(index, vector, list_id)
+    index, dims = usable(index, vector)
+    index = bounded_lists(index, list_id)
+    ids, centroids = _centroids(index, vector, list_id, dims)
     schema = T.StructType([T.StructField("_list", index.schema[list_id].dataType), T.StructField("place", T.IntegerType())])
-    # At most MAX_LISTS rows.
+    # At most MAX_LISTS + 1 rows.
     places = F.broadcast(spark.createDataFrame([(v, i) for i, v in enumerate(ids)], schema))
     listed = index.select(F.col(key).alias("neighbour_id"), F.col(vector).cast("array<double>").alias("vector"), list_id)
     # Rows without a list are a list of their own.
     listed = listed.join(places, F.col(list_id).eqNullSafe(F.col("_list"))).select("neighbour_id", "vector", "place")
     angled = written(
-        listed.mapInArrow(_angles(centroids), T.StructType([*listed.schema, T.StructField("angle", T.DoubleType())])),
+        listed.mapInArrow(_angles(centroids), T.StructType([*listed.schema, T.StructField("angle", T.DoubleType()), T.StructField("length", T.DoubleType())])),
         "knn-index",
     )
     reach = angled.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
@@ -123,20 +156,23 @@ def place_in_lists(index: DataFrame, key: str, vector: str, list_id: str) -> tup
     # One row per list again.
     cuts = F.broadcast(spark.createDataFrame(slices, "place int, low double, width double, rings int, first int"))
     ring = F.least(F.floor((F.col("angle") - F.col("low")) / F.col("width")).cast("int"), F.col("rings") - 1)
-    placed = angled.join(cuts, "place").select("neighbour_id", "vector", (F.col("first") + ring).alias("cell"))
-    sizes = np.zeros(len(list_of), dtype=np.int64)
-    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
-        sizes[r["cell"]] = r["n"]
-    return placed, Lists(centroids, np.array(list_of), np.array(inner), np.array(outer), sizes)
+    placed = angled.join(cuts, "place").select("neighbour_id", "vector", "length", (F.col("first") + ring).alias("cell"))
+    sizes, short, long = np.zeros(len(list_of), dtype=np.int64), *np.zeros((2, len(list_of)))
+    measured = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("length").alias("short"), F.max("length").alias("long"))
+    for r in measured.collect():
+        sizes[r["cell"]], short[r["cell"]], long[r["cell"]] = r["n"], r["short"], r["long"]
+    return placed.drop("length"), Lists(centroids, np.array(list_of, int), np.array(inner), np.array(outer), sizes, short, long)
 
 
 def _choose_cells(queries: DataFrame, key: str, vector: str, lists: Lists, choose, extra: str = "") -> DataFrame:
     """Rows ``(query_id, query_vector, cell)``: the cells each query probes.
 
-    ``choose(cosines, found)`` returns a boolean matrix of queries by cells; ``found``
-    holds the values of the extra column.
+    ``choose(cosines, lengths, found)`` returns a boolean matrix of queries by cells;
+    ``lengths`` are those of the query vectors, ``found`` holds the values of the
+    extra column.
     """
     centroids, filled = lists.centroids, lists.sizes > 0
+    queries = usable(queries, vector, centroids.shape[1])[0]
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema[key].dataType),
@@ -149,9 +185,10 @@ def _choose_cells(queries: DataFrame, key: str, vector: str, lists: Lists, choos
         for whole in batches:
             for start in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(start, BLOCK)
-                cosines = np.clip(_matrix(batch.column("query_vector"), centroids.shape[1]) @ centroids.T, -1.0, 1.0)
+                asked = _matrix(batch.column("query_vector"), centroids.shape[1])
+                cosines = np.clip(_unit(asked) @ centroids.T, -1.0, 1.0)
                 found = batch.column(extra).to_numpy(zero_copy_only=False) if extra else None
-                row, cell = np.nonzero(choose(cosines, found) & filled)
+                row, cell = np.nonzero(choose(cosines, np.linalg.norm(asked, axis=1), found) & filled)
                 taken = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -169,7 +206,7 @@ def _choose_cells(queries: DataFrame, key: str, vector: str, lists: Lists, choos
 def _nearest(lists: Lists, n: int):
     """All cells of the ``n`` lists with the closest centroids; earlier lists win ties."""
 
-    def choose(cosines: np.ndarray, found) -> np.ndarray:
+    def choose(cosines: np.ndarray, lengths: np.ndarray, found) -> np.ndarray:
         order = np.argsort(-cosines, axis=1, kind="stable")[:, :n]
         chosen = np.zeros(cosines.shape, dtype=bool)
         np.put_along_axis(chosen, order, True, axis=1)
@@ -182,10 +219,14 @@ def _still_possible(lists: Lists):
     """Cells outside the nearest list that could hold a score of at least the k-th one found."""
     nearest = _nearest(lists, 1)
 
-    def choose(cosines: np.ndarray, found: np.ndarray) -> np.ndarray:
+    def choose(cosines: np.ndarray, lengths: np.ndarray, found: np.ndarray) -> np.ndarray:
         angle = np.arccos(cosines)[:, lists.list_of]
         gap = np.maximum(np.maximum(angle - lists.outer, lists.inner - angle), 0.0)
-        return (np.cos(gap) >= found[:, None] - SLACK) & ~nearest(cosines, found)
+        cosine = np.cos(gap)
+        # The longest vector scores best, or the shortest where all scores are negative.
+        best = cosine * np.where(cosine >= 0, lists.long, lists.short) * lengths[:, None]
+        slack = SLACK * np.maximum(1.0, lists.long * lengths[:, None])
+        return (best >= found[:, None] - slack) & ~nearest(cosines, lengths, found)
 
     return choose
 
@@ -241,7 +282,7 @@ def best_per_query(pairs: DataFrame, k: int) -> DataFrame:
 def _scored(placed: DataFrame, probes: DataFrame, lists: Lists, k: int, exclude_self: bool) -> DataFrame:
     """k best neighbours per query and pair of chunks, for the cells each query probes."""
     asked = {r["cell"]: r["n"] for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # One row per cell that is probed, at most MAX_LISTS * RINGS.
+    # One row per cell that is probed, at most (MAX_LISTS + 1) * RINGS.
     cuts = F.broadcast(
         placed.sparkSession.createDataFrame(
             [(cell, -(-int(lists.sizes[cell]) // CHUNK), -(-n // CHUNK)) for cell, n in asked.items()],
@@ -296,9 +337,9 @@ def knn_exact(
     near = _choose_cells(queries, key, vector, lists, _nearest(lists, 1))
     first = written(best_per_query(_scored(placed, near, lists, k, exclude_self), k).drop("rank"), "knn-first")
     kth = first.groupBy(F.col("query_id").alias(key)).agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("search_score")).otherwise(-2.0).alias("kth")
+        F.when(F.count(F.lit(1)) >= k, F.min("search_score")).otherwise(float("-inf")).alias("kth")
     )
-    bounded = queries.join(kth, key, "left").select(key, vector, F.coalesce("kth", F.lit(-2.0)).alias("kth"))
+    bounded = queries.join(kth, key, "left").select(key, vector, F.coalesce("kth", F.lit(float("-inf"))).alias("kth"))
     far = written(_choose_cells(bounded, key, vector, lists, _still_possible(lists), extra="kth"), "knn-far")
     second = _scored(placed, far, lists, k, exclude_self)
     return best_per_query(first.unionByName(second), k)

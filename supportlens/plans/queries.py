@@ -11,9 +11,8 @@ from pyspark.sql import types as T
 
 from supportlens.functions import derive
 from supportlens.functions.expressions import FINISHED, rounded, rows
-from supportlens.functions.vectors import with_hashed_vector
 from supportlens.operators import change_feed as feeds
-from supportlens.operators import checks, customer, lookups, product, revenue, support
+from supportlens.operators import block_index, checks, customer, lookups, product, quantised, revenue, support
 from supportlens.operators import text_index, vector_search
 from supportlens.plans import cross_domain, history, patterns, routing, tools
 from supportlens.session import new_dir, spread, state_of, stored, written
@@ -310,21 +309,19 @@ def _(t):
 
 @query("search_text_topk")
 def _(t):
-    # Every benchmark text as a query over every document; documents are listed by language.
-    documents = with_hashed_vector(spread(t.raw("documents").select("doc_id", "lang", "text")), "text")
-    documents = written(documents.withColumnRenamed("doc_id", "item_id"), "document-vectors")
-    asked = written(with_hashed_vector(t.raw("benchmark").select("item_id", "text"), "text"), "query-vectors")
-    return vector_search.knn_exact(asked, documents, "item_id", "vector", "lang", k=5)
+    # Every benchmark text as a query over every document.
+    index = block_index.write_block_index(t.raw("documents"), "doc_id", "text", new_dir(t.spark, "documents-blocks"))
+    return block_index.text_top_k(index, t.raw("benchmark"), "item_id", "text", k=5)
 
 
 @query("similar_tickets")
 def _(t):
     # Tickets that need attention, each with the finished tickets most like it.
     attention = (F.col("status") == "Escalated") | ((F.col("priority") == "Critical") & F.col("status").isin("Open", "In Progress"))
-    finished = F.col("status").isin(FINISHED)
-    texts = t.support_tickets("ticket_id", "category", "priority", "status", "description").where(attention | finished)
-    vectors = written(with_hashed_vector(spread(texts), "description"), "ticket-vectors")
-    return vector_search.knn_exact(vectors.where(attention), vectors.where(finished), "ticket_id", "vector", "category", k=3)
+    texts = t.support_tickets("ticket_id", "priority", "status", "description")
+    past = texts.where(F.col("status").isin(FINISHED))
+    index = block_index.write_block_index(past, "ticket_id", "description", new_dir(t.spark, "finished-tickets-blocks"))
+    return block_index.text_top_k(index, texts.where(attention), "ticket_id", "description", k=3)
 
 
 @query("search_vector_topk")
@@ -359,6 +356,29 @@ def _(t):
     return patterns.recall_by_list(vector_search.recall(found, truth), vectors, "vec_id", "label")
 
 
+def _quantised(t: StarTables):
+    """Index of the given vectors, and a search in it that reaches a recall of 0.9 with some margin."""
+    vectors = t.raw("embeddings")
+    index = quantised.write_index(vectors, "vec_id", "embedding", new_dir(t.spark, "quantised-vectors"))
+    probes, candidates = quantised.calibrate(index, 5, 0.95)
+    return index, quantised.search(index, vectors, "vec_id", "embedding", 5, probes, candidates, exclude_self=True)
+
+
+@query("search_pq")
+def _(t):
+    return _quantised(t)[1]
+
+
+@query("search_pq_recall")
+def _(t):
+    # Whether the approximate answers hold nine of ten true neighbours, by label.
+    vectors = t.raw("embeddings")
+    truth = vector_search.knn_exact(vectors, vectors, "vec_id", "embedding", "label", exclude_self=True)
+    by_list = patterns.recall_by_list(vector_search.recall(_quantised(t)[1], truth), vectors, "vec_id", "label")
+    total = by_list.agg(F.sum("expected").alias("expected"), F.sum("found").alias("found"))
+    return total.select("expected", (F.col("found") >= 0.9 * F.col("expected")).alias("reached"))
+
+
 @query("route_questions")
 def _(t):
     asked = t.raw("conversations").where(F.col("role") == "user")

@@ -161,10 +161,49 @@ def test_second_round_skips_cells_that_are_too_far(spark):
     _, lists = vector_search.place_in_lists(frame(spark, vectors, labels), "id", "v", "label")
     assert lists.sizes.sum() == 400
     cosines = np.clip(vectors @ lists.centroids.T, -1, 1)
-    kept = vector_search._still_possible(lists)(cosines, np.full(400, 0.9))
+    kept = vector_search._still_possible(lists)(cosines, np.ones(400), np.full(400, 0.9))
     assert kept.sum() < kept.size / 3
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_exact_neighbours_of_vectors_of_any_length(spark, seed):
+    rng = np.random.default_rng(seed)
+    vectors, labels = clustered(150, 5, 0.5, seed)
+    vectors = vectors * rng.choice([0.01, 0.5, 1.0, 2.0, 40.0], size=(150, 1))
+    queries = rng.normal(size=(40, 5)) * rng.choice([0.1, 1.0, 30.0], size=(40, 1))
+    found = vector_search.knn_exact(frame(spark, queries, [0] * 40), frame(spark, vectors, labels), "id", "v", "label", k=4)
+    assert pairs(found) == brute_neighbours(queries, vectors, 4, False)
+
+
+def test_the_longest_vector_of_another_list_is_found(spark):
+    index = spark.createDataFrame([(1, [0.6, 0.8], 0), (2, [0.0, 1.0], 0), (3, [2.0, 0.0], 1)], "id long, v array<double>, label int")
+    asked = spark.createDataFrame([(9, [0.6, 0.8])], "id long, v array<double>")
+    best = vector_search.knn_exact(asked, index, "id", "v", "label", k=1).first()
+    assert (best["neighbour_id"], best["search_score"]) == (3, 1.2)
+    # All scores negative: the shortest is the best one.
+    index = spark.createDataFrame([(1, [-3.0, 0.0], 0), (2, [-1.0, 0.0], 1), (3, [-2.0, 0.0], 1)], "id long, v array<double>, label int")
+    asked = spark.createDataFrame([(9, [1.0, 0.0])], "id long, v array<double>")
+    assert vector_search.knn_exact(asked, index, "id", "v", "label", k=1).first()["neighbour_id"] == 2
+
+
+def test_rows_that_cannot_be_compared_are_neither_asked_nor_found(spark):
+    vectors, labels = clustered(60, 4, 0.5, 13)
+    rows = [(i, [float(x) for x in v], int(c)) for i, (v, c) in enumerate(zip(vectors, labels, strict=True))]
+    odd = [None, [], [0.0] * 4, [1.0, None, 0.0, 0.0], [float("nan"), 0.0, 0.0, 1.0], [float("inf"), 0.0, 0.0, 0.0], [1.0, 0.0], [1.0] * 9]
+    df = spark.createDataFrame(rows + [(100 + i, v, i % 3) for i, v in enumerate(odd)], "id long, v array<double>, label int")
+    assert pairs(vector_search.knn_exact(df, df, "id", "v", "label", k=4, exclude_self=True)) == brute_neighbours(vectors, vectors, 4, True)
+    found = vector_search.knn_approximate(df, df, "id", "v", "label", k=4, probes=9, exclude_self=True)
+    assert pairs(found) == brute_neighbours(vectors, vectors, 4, True)
+    assert vector_search.knn_exact(df.where("id >= 100"), df.where("id >= 100 AND v IS NULL"), "id", "v", "label").count() == 0
+
+
+def test_more_lists_than_are_kept_apart(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "MAX_LISTS", 6)
+    vectors, _ = clustered(80, 4, 0.5, 14)
+    df = frame(spark, vectors, range(80))
+    assert pairs(vector_search.knn_exact(df, df, "id", "v", "label", k=3)) == brute_neighbours(vectors, vectors, 3, False)
+
+
 def test_probing_all_lists_is_exact(spark):
     vectors, labels = clustered(200, 8, 0.4, 7)
     df = frame(spark, vectors, labels)
@@ -211,13 +250,6 @@ def test_the_manifest_describes_the_index(index, corpus):
     assert (row.documents, row.key_column, row.path) == (len(corpus), "id", index.path) and row.created_at is not None
 
 
-def test_too_many_lists_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(vector_search, "MAX_LISTS", 3)
-    vectors, _ = clustered(20, 4, 0.4, 1)
-    with pytest.raises(ValueError):
-        vector_search.place_in_lists(frame(spark, vectors, range(20)), "id", "v", "label")
-
-
 def test_routing(spark):
     tools = spark.createDataFrame(
         [("money", "revenue of orders"), ("people", "customers and their churn"), ("both", "revenue of customers")],
