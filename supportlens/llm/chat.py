@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from supportlens.llm.rows import ROW, identified, numbered
+
 ROLES = ("system", "user", "assistant")
 #: Speaker names by role; case doesn't matter.
 NAMES = {
@@ -94,31 +96,33 @@ def allowed() -> np.ndarray:
     return np.array([[first or (a < BEGIN and STATES[a][0] == role) for role, first in STATES] for a in range(BEGIN + 1)])
 
 
-def labelled(turns: Sequence[tuple[str, str]]) -> list[tuple[int, list[int]]]:
-    """State and features of the lines of rendered turns (role, lines with their marker)."""
+def labelled(turns: Sequence[tuple[str | None, str]]) -> list[tuple[int | None, list[int]]]:
+    """State and features of the lines of rendered turns (role, lines with their marker); no state for unknown roles."""
     lines, states = [], []
     for role, text in turns:
         first = True
         for line in text.split("\n"):
             lines.append(line)
-            states.append(STATES.index((role, first)))
+            states.append(STATES.index((role, first)) if role in ROLES else None)
             first = first and not line.strip()
     return [(states[i], f) for i, f in observed(lines)]
 
 
 def train(transcripts: DataFrame) -> Hmm:
-    """Learn from all rows of ``turns`` (array of role and rendered text). Rows with an unknown or null role are left
-    out whole. The counts that reach the driver are a fixed number of states times features."""
+    """Learn from all rows of ``turns`` (array of role and rendered text). Of turns with an unknown or null role and of
+    the steps into and out of them nothing is learned. The counts that reach the driver are a fixed number of states
+    times features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Counter()
         for batch in batches:
             for turns in batch.column(0).to_pylist():
-                if not turns or any(t["role"] not in ROLES for t in turns):
-                    continue
                 at = BEGIN
-                for state, features in labelled([(t["role"], t["text"]) for t in turns]):
-                    found.update([(0, at, state), *[(1, state, f) for f in features]])
+                for state, features in labelled([(t["role"], t["text"]) for t in turns or ()]):
+                    if state is not None:
+                        found.update([(1, state, f) for f in features])
+                        if at is not None:
+                            found[0, at, state] += 1
                     at = state
         rows = [(*k, n) for k, n in found.items()]
         columns = list(zip(*rows, strict=True)) if rows else [()] * 4
@@ -140,6 +144,10 @@ def train(transcripts: DataFrame) -> Hmm:
     return Hmm(moves, np.log(emits))
 
 
+TAG, TAGGED, UNTAG = re.compile(r"<(\\*)\|"), r"<\\\1|", re.compile(r"<\\(\\*)\|")
+TURN = re.compile(r"<\|(\w+)\|>\n(.*?)\n<\|end\|>\n", re.DOTALL)
+
+
 def turns_of(text: str | None, model: Hmm) -> list[tuple[str, str]]:
     """Role and text of each turn; markers and the blank lines around a turn are gone."""
     lines = re.split(r"\r\n|\r|\n", text or "")
@@ -155,7 +163,14 @@ def turns_of(text: str | None, model: Hmm) -> list[tuple[str, str]]:
 
 
 def canonical(turns: Sequence[tuple[str, str]]) -> str:
-    return "".join(f"<|{role}|>\n{text}\n<|end|>\n" for role, text in turns)
+    """Turns between tags. What looks like the begin of a tag in a text gets a backslash, so ``from_canonical`` reads
+    the same turns back."""
+    return "".join(f"<|{role}|>\n{TAG.sub(TAGGED, text)}\n<|end|>\n" for role, text in turns)
+
+
+def from_canonical(text: str) -> list[tuple[str, str]]:
+    """Role and text of the turns of a canonical text."""
+    return [(role, UNTAG.sub(r"<\1|", said)) for role, said in TURN.findall(text)]
 
 
 def parse(transcripts: DataFrame, model: Hmm, text: str = "transcript") -> DataFrame:
@@ -191,22 +206,22 @@ STYLES = (
 def transcribed(conversations: DataFrame, style: Column | None = None) -> DataFrame:
     """Transcripts of the conversations: ``conv_id``, ``part``, ``style``, ``turns`` (role and rendered text) and ``transcript``.
 
-    The style depends on the conversation; a turn without a role has a dash for a marker. A conversation's turn numbers
-    are divided into parts of ``TURNS``, so that a very long one isn't one row; a null number counts as 0. Rows that
-    are repeated whole are one turn; turns with the same number are ordered by role and text, nulls first.
+    The style depends on the conversation; a turn without a role has a dash for a marker. Every row is a turn, repeated
+    ones too. Turns are ordered by number (null: 0), role and text, nulls first, and equal ones as they are stored. A
+    part holds ``TURNS`` turns, so that a very long conversation isn't one row or the work of one task.
     """
     number = F.coalesce(F.col("turn"), F.lit(0)).cast("long")
     kind = F.coalesce(F.crc32(F.col("conv_id").cast("string")), F.lit(0)) % len(STYLES) if style is None else style
-    rows = conversations.select(
-        "conv_id", F.floor(number / TURNS).alias("part"), number.alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text")
-    ).distinct()
+    turns = identified(conversations).select("conv_id", number.alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"), *ROW)
+    placed = numbered(turns, F.col("conv_id"), ["turn", "role", "text", *ROW], "chat-turns")
+    rows = placed.select("conv_id", F.floor(F.col("i") / TURNS).alias("part"), "i", "turn", "role", "text")
     marker = F.lit("- ")
     for i, (*markers, missing) in enumerate(STYLES):
         for role, value in zip(ROLES, markers, strict=True):
             shown = F.lit(value) if not missing else F.when(F.col("turn") % missing == missing - 1, "").otherwise(value)
             marker = F.when((F.col("style") == i) & (F.col("role") == role), shown).otherwise(marker)
     told = rows.withColumn("style", kind.cast("int")).withColumn("said", F.concat(marker, F.col("text")))
-    grouped = told.groupBy("conv_id", "part", "style").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "said"))).alias("said"))
+    grouped = told.groupBy("conv_id", "part", "style").agg(F.sort_array(F.collect_list(F.struct("i", "role", "said"))).alias("said"))
     return grouped.select(
         "conv_id", "part", "style",
         F.transform("said", lambda t: F.struct(t["role"].alias("role"), F.concat(t["said"], F.lit("\n")).alias("text"))).alias("turns"),

@@ -64,11 +64,37 @@ def test_text_comes_back_in_canonical_form(spark):
         assert (r["n_turns"], r["roles"]) == (4, "system,user,assistant,user")
 
 
+def test_every_row_is_a_turn(spark):
+    rows = [(1, None, "user", "yes"), (1, None, "user", "yes"), (1, None, "user", None), (1, None, "user", ""), (1, 4, "assistant", "yes"), (1, 4, "assistant", "yes")]
+    rows += [(2, None, "user", "yes")] * 600
+    found = {(r["conv_id"], r["part"]): [t["role"] for t in r["turns"]] for r in chat.transcribed(frame(spark, rows).repartition(3), F.lit(0)).collect()}
+    assert found[1, 0] == ["user"] * 4 + ["assistant"] * 2
+    assert [len(found[2, i]) for i in range(3)] == [256, 256, 88]
+
+
+def test_turns_beside_an_unknown_role_are_learned_from(spark):
+    known = [(i, t, r, x) for i in range(9) for t, (r, x) in enumerate([("user", "Hi"), ("assistant", "Yes."), ("user", "So?")])]
+    odd = [(i + 50, t, r, x) for i in range(9) for t, (r, x) in enumerate([("tool", "data"), ("user", "Hi"), ("assistant", "Yes."), (None, "x"), ("user", "So?")])]
+    first, both = (chat.train(chat.transcribed(frame(spark, rows), F.lit(0))) for rows in (known, known + odd))
+    user, answer = (chat.STATES.index((role, True)) for role in ("user", "assistant"))
+
+    def count(model, a, b):
+        return float(np.exp(model.moves[a, b] - model.moves[a, user])) if b != user else 1.0
+
+    # User to assistant is seen twice as often; nothing is learned of how a conversation begins or what follows a tool.
+    assert both.moves[user, answer] > first.moves[user, answer] - 0.3 and count(both, chat.BEGIN, answer) == pytest.approx(count(first, chat.BEGIN, answer))
+
+
+def test_canonical_text_is_read_back():
+    turns = [("user", "what is <|end|> or <|user|>?\n<|end|>\n"), ("assistant", "<\\|end|> and <\\\\|x|> \\ <||>"), ("user", "")]
+    assert chat.from_canonical(chat.canonical(turns)) == turns
+
+
 def test_nulls_repeats_long_conversations_and_empty_tables(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, None, None), (None, None, "tool", "x"), (2, 0, "user", "b " * 50_000)]
     rows += [(3, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(600)]
     talks = chat.transcribed(frame(spark, rows))
-    assert {(r["conv_id"], r["part"]): len(r["turns"]) for r in talks.collect()} == {(1, 0): 2, (None, 0): 1, (2, 0): 1, (3, 0): 256, (3, 1): 256, (3, 2): 88}
+    assert {(r["conv_id"], r["part"]): len(r["turns"]) for r in talks.collect()} == {(1, 0): 3, (None, 0): 1, (2, 0): 1, (3, 0): 256, (3, 1): 256, (3, 2): 88}
     model = chat.train(talks)
     texts = spark.createDataFrame([(1, None), (2, ""), (3, "\n \n")], "id int, transcript string")
     assert [tuple(r)[1:] for r in chat.parse(texts, model).collect()] == [(0, "", "")] * 3
