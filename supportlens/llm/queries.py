@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from supportlens.llm import bpe, chat, exact, language, lm, merkle, mixing, packing, resample, simhash, tokens, vectors, warc
+from supportlens.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,7 +34,7 @@ def op1(spark, sf_dir):
 
 @query("op2_chat_roles")
 def op2(spark, sf_dir):
-    talks = chat.transcribed(table(spark, sf_dir, "conversations"))
+    talks = written(chat.transcribed(table(spark, sf_dir, "conversations")), "chat-talks")
     talks = talks.withColumn("held_out", F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 7 == 2, F.lit(False)))
     model = chat.train(talks.filter("NOT held_out AND conv_id IS NOT NULL"))
     return chat.parse(talks, model).select("conv_id", "part", "style", "held_out", "n_turns", "roles", "canonical")
@@ -93,10 +94,9 @@ def op8(spark, sf_dir):
 
 @query("op9_lm_scoring")
 def op9(spark, sf_dir):
-    docs = with_fold(table(spark, sf_dir, "documents").select("doc_id", "text"), 7, 2)
-    model = lm.train(docs.filter("NOT held_out AND doc_id IS NOT NULL"))
-    found = lm.score(table(spark, sf_dir, "documents"), model)
-    return with_fold(found, 7, 2).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    docs = table(spark, sf_dir, "documents")
+    trained = (language.crc(F.col("doc_id")) % 7 != 2) & F.col("doc_id").isNotNull()
+    return with_fold(lm.score(docs, trained), 7, 2).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 @query("op10_exact_dedup")
