@@ -34,7 +34,7 @@ from supportlens.session import new_dir, written
 #: Payloads below this size are stored again rather than referred to.
 REVISIT_BYTES = 100
 #: Captures in a block of the index, bytes after which an archive is closed, bytes read at once, gap read over.
-BLOCK_LINES, ARCHIVE_BYTES, READ_BYTES, GAP_BYTES = 512, 1 << 30, 8 << 20, 1 << 16
+BLOCK_LINES, ARCHIVE_BYTES, READ_BYTES, GAP_BYTES, TASK_BYTES = 512, 1 << 30, 8 << 20, 1 << 16, 128 << 20
 DATE = "2024-01-01T00:00:00Z"
 NO_URL = "urn:x-no-url"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -296,7 +296,11 @@ def fetch(index: CaptureIndex, captures: DataFrame, payloads: bool = False) -> D
                 file.close()
 
     kinds = {"page_id": "long", "payload_bytes": "long", "payload_digest": "string", "record_type": "string", "refers_to": "long", "payload": "binary"}
-    dealt = captures.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    ranges = captures.select("file", "offset", "length")
+    # The rows are small and say nothing about the work, which is that of the bytes they stand for.
+    total = ranges.agg(F.sum("length")).first()[0] or 0
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    dealt = ranges.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(run, ", ".join(f"{f.name} {kinds[f.name]}" for f in schema))
 
 

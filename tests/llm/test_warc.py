@@ -74,6 +74,15 @@ def test_index_finds_every_capture_of_a_common_url(spark):
     assert sorted(bytes(r["payload"]).decode() for r in some.collect()) == sorted(str(k) for k, u, _ in rows if u == "http://s3.com/3")
 
 
+def test_records_are_read_by_as_many_tasks_as_their_bytes_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_BYTES", 2000)
+    index = warc.build_index(warc.write_archives(frame(spark, [(i, f"http://a.com/{i}", str(i)) for i in range(200)])))
+    found = warc.lookup(index, spark.createDataFrame([(warc.url_key(f"http://a.com/{i}"),) for i in range(200)], "skey string"))
+    size = found.agg(F.sum("length")).first()[0]
+    read = warc.fetch(index, found)
+    assert read.count() == 200 and read.rdd.getNumPartitions() == -(-size // 2000) > 8
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
     assert warc.archived(frame(spark, [(1, "u", "h")]).filter(F.lit(False))).count() == 0
