@@ -373,6 +373,8 @@ SELECT conv_id, turn, best.tool, coalesce(score, 0.0) AS score FROM asked LEFT J
 # --- incremental index -----------------------------------------------------------
 
 oracle("index_sync_triggered", index_rows("documents", "doc_id", "text"))
+oracle("index_sync_out_of_order", index_rows("revised", "doc_id", "text").replace(
+    "WITH", "WITH revised AS (SELECT doc_id, CASE WHEN n_chars >= 1000 THEN text || ' final' ELSE text END AS text FROM documents),", 1))
 oracle("search_after_sync", search_sql(*TICKETS, q.TEXT_SLOW, "ticket_id, customer_id, description, priority"))
 oracle("index_upsert", f"""
 WITH new AS ({as_of(0, 'description, ')}), {term_tables('new', 'ticket_id', 'description')}

@@ -396,6 +396,22 @@ def _(t):
     return _index_rows(index_sync.current(t.spark, path, "doc_id"), "doc_id")
 
 
+@query("index_sync_out_of_order")
+def _(t):
+    # Three states of the documents, of which the oldest arrives last, synced one after the other; long ones were revised.
+    docs = t.raw("documents")
+    states = [
+        docs.select("doc_id", "text", F.lit(1).alias("revision")),
+        docs.where("n_chars >= 1000").select("doc_id", F.concat("text", F.lit(" final")).alias("text"), F.lit(2).alias("revision")),
+        docs.select("doc_id", F.concat(F.lit("draft "), F.coalesce("text", F.lit(""))).alias("text"), F.lit(0).alias("revision")),
+    ]
+    folder, path, checkpoint = (new_dir(t.spark, n) for n in ("arriving", "ordered-index", "ordered-checkpoint"))
+    for number, state in enumerate(states):
+        state.write.parquet(f"{folder}/{number}")
+        index_sync.sync_now(t.spark, f"{folder}/*", "*.parquet", states[0].schema, "doc_id", "text", path, checkpoint, sequence="revision")
+    return _index_rows(index_sync.current(t.spark, path, "doc_id"), "doc_id")
+
+
 @query("index_upsert")
 def _(t):
     # The older ticket snapshot as version 0, then a week of changes as version 1.

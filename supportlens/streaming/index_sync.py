@@ -1,7 +1,8 @@
 """Incremental text index: versions are appended, the newest per key counts.
 
-Parquet has no merge, so each increment goes to its own folder, named by the
-streaming batch. A replayed batch overwrites the folder it wrote before. Each increment
+Parquet has no merge, so each increment goes to its own folder, numbered by the
+streaming batch. A replayed batch overwrites the folder it wrote before. Every row keeps
+its sequence, so an older state that arrives later doesn't replace a newer one. Each increment
 has its postings beside it, so that it can be searched at once: postings of versions
 that were replaced or deleted are left out when they are read, and gone after
 ``compact`` or ``publish``.
@@ -11,10 +12,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType, TimestampType
 
 from supportlens.operators.change_feed import AFTER, DELETE, INSERT
 from supportlens.operators.text_index import TextIndex, finish_index, text_vectors, write_postings
@@ -26,26 +28,34 @@ def write_version(
 ) -> None:
     """Index the rows as one version.
 
-    ``deleted`` names a boolean column of tombstones. Where a key can occur twice in
-    one increment, ``sequence`` names the column whose largest value is the newest; of
-    equally new rows, or without a sequence, the largest row counts.
+    ``deleted`` names a boolean column of tombstones. ``sequence`` names the column, a
+    number or a time, whose largest value is the newest state of a key, in this and in
+    all other increments. Rows without one are older than those with one; of equally
+    new rows the later increment counts, and in one increment the largest row.
     """
-    first = [sequence] if sequence else []
-    others = [c for c in rows.columns if c not in (key, sequence)]
-    rows = rows.groupBy(key).agg(F.max(F.struct(*first, *others)).alias("_newest")).select(key, *[f"_newest.{c}" for c in others])
+    order = _as_long(rows, sequence) if sequence else F.lit(None).cast("long")
+    others = [c for c in rows.columns if c not in (key, sequence, "sequence")]
+    rows = rows.select(key, *others, order.alias("sequence"))
+    rows = rows.groupBy(key).agg(F.max(F.struct("sequence", *others)).alias("_newest")).select(key, *[f"_newest.{c}" for c in (*others, "sequence")])
     marked = rows.withColumnRenamed(deleted, "deleted") if deleted else rows.withColumn("deleted", F.lit(False))
     target = f"{path}/version={version}"
     text_vectors(spread(marked), text).write.mode("overwrite").parquet(target)
     write_postings(rows.sparkSession.read.parquet(target), key, postings_of_versions(path), f"version={version}")
 
 
+def _as_long(rows: DataFrame, column: str) -> Column:
+    if isinstance(rows.schema[column].dataType, TimestampType):
+        return F.unix_micros(column)
+    return F.unix_date(column).cast("long") if isinstance(rows.schema[column].dataType, DateType) else F.col(column).cast("long")
+
+
 def postings_of_versions(path: str) -> str:
     return f"{path.rstrip('/')}.postings"
 
 
 def live(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Key and newest version of every document that isn't deleted."""
-    newest = spark.read.parquet(path).groupBy(key).agg(F.max(F.struct("version", "deleted")).alias("newest"))
+    newest = spark.read.parquet(path).groupBy(key).agg(F.max(F.struct("sequence", "version", "deleted")).alias("newest"))
     return newest.where(~F.col("newest.deleted")).select(key, "newest.version")
 
 
@@ -77,16 +87,15 @@ class LiveIndex:
 def current(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Newest version of every key, without the deleted ones.
 
-    Only key and version are aggregated; the wide rows are moved once, by the join.
+    Only key, sequence and version are aggregated; the wide rows are moved once, by the join.
     """
-    versions = spark.read.parquet(path)
-    newest = versions.groupBy(key).agg(F.max("version").alias("version"))
-    return versions.join(newest, [key, "version"]).where(~F.col("deleted")).drop("deleted")
+    return spark.read.parquet(path).join(live(spark, path, key), [key, "version"]).drop("deleted", "sequence")
 
 
 def compact(spark: SparkSession, path: str, key: str, target: str) -> None:
     """Write the current state as the only version of a new folder."""
-    rows = current(spark, path, key).drop("version").withColumn("deleted", F.lit(False))
+    newest = spark.read.parquet(path).join(live(spark, path, key), [key, "version"])
+    rows = newest.drop("version")
     rows.write.mode("overwrite").parquet(f"{target}/version=0")
     write_postings(spark.read.parquet(f"{target}/version=0"), key, postings_of_versions(target), "version=0")
 
@@ -105,6 +114,21 @@ def write_changes(feed: DataFrame, key: str, text: str, path: str, version: int)
     write_version(marked, key, text, path, version, deleted="_gone")
 
 
+def first_version(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """Version of the first batch of a checkpoint, kept beside it: the next free one when the checkpoint is new."""
+    kept = f"{checkpoint.rstrip('/')}.first-version"
+    try:
+        return spark.read.parquet(kept).first()["version"]
+    except AnalysisException:
+        pass
+    try:
+        version = (spark.read.parquet(path).agg(F.max("version")).first()[0] or 0) + 1
+    except AnalysisException:
+        version = 0
+    spark.createDataFrame([(version,)], "version long").write.parquet(kept)
+    return version
+
+
 def start_sync(
     spark: SparkSession, folder: str, pattern: str, schema: StructType, key: str, text: str, path: str, checkpoint: str,
     continuous: str | None = None, max_files: int | None = None, sequence: str | None = None,
@@ -119,8 +143,10 @@ def start_sync(
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = reader.parquet(folder).select(key, text, *([sequence] if sequence else []))
 
+    first = first_version(spark, path, checkpoint)
+
     def index_batch(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, key, text, path, batch_id, sequence=sequence)
+        write_version(batch, key, text, path, first + batch_id, sequence=sequence)
 
     writer = rows.writeStream.foreachBatch(index_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +137,37 @@ def test_increments_equal_one_batch(spark):
     assert spark.read.parquet(path).count() == stored_rows
 
 
+def test_an_older_state_that_arrives_later_is_refused(spark):
+    schema, path = "id bigint, text string, at timestamp", new_dir(spark, "versions")
+    day = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    increments = [[(1, "second", day[1]), (2, "second", day[1])], [(1, "first", day[0]), (3, "third", day[2])], [(2, "third", day[2]), (3, "second", day[1]), (4, "none", None)]]
+    for version, rows in enumerate(increments):
+        index_sync.write_version(spark.createDataFrame(rows, schema), "id", "text", path, version, sequence="at")
+    want = {1: "second", 2: "third", 3: "third", 4: "none"}
+    assert {r.id: r.counts[0].term for r in index_sync.current(spark, path, "id").collect()} == want
+    live = index_sync.LiveIndex(spark, path, "id")
+    assert live.documents() == 4 and live.frequencies(["first", "second", "third"]) == {"second": 1, "third": 2}
+    # A tombstone that arrives late doesn't delete what came after it; a newer one does, also after compaction.
+    gone = spark.createDataFrame([(1, "", day[0], True), (2, "", datetime(2024, 1, 9), True)], "id bigint, text string, at timestamp, gone boolean")
+    index_sync.write_version(gone, "id", "text", path, 3, deleted="gone", sequence="at")
+    index_sync.compact(spark, path, "id", smaller := new_dir(spark, "compacted"))
+    late = spark.createDataFrame([(1, "first", day[0])], schema)
+    for some in (path, smaller):
+        index_sync.write_version(late, "id", "text", some, 4, sequence="at")
+        assert {r.id: r.counts[0].term for r in index_sync.current(spark, some, "id").collect()} == {k: v for k, v in want.items() if k != 2}
+
+
+def test_a_new_checkpoint_overwrites_nothing(spark):
+    folder, path = new_dir(spark, "incoming"), new_dir(spark, "synced")
+    schema = "id bigint, text string, seq int"
+    frames = [spark.createDataFrame([(1, "old", 1), (2, "kept", 1)], schema), spark.createDataFrame([(1, "new", 2)], schema)]
+    for number, frame in enumerate(frames):
+        frame.write.parquet(f"{folder}/{number}")
+        index_sync.sync_now(spark, f"{folder}/{number}", "*.parquet", frame.schema, "id", "text", path, new_dir(spark, "checkpoint"), sequence="seq")
+    assert {r.id: r.counts[0].term for r in index_sync.current(spark, path, "id").collect()} == {1: "new", 2: "kept"}
+    assert {r.version for r in spark.read.parquet(path).select("version").distinct().collect()} == {0, 1}
+
+
 def test_continuous_sync_runs_until_stopped(spark):
     folder, path, checkpoint = (new_dir(spark, n) for n in ("incoming", "synced", "checkpoint"))
     frame = spark.createDataFrame([(1, "one text"), (2, "two texts")], "id bigint, text string")
