@@ -370,6 +370,8 @@ best AS (SELECT question, ttf.tool, round(sum(qw * (1 + ln(ttf.tf)) / tdoc.norm)
          QUALIFY row_number() OVER (PARTITION BY question ORDER BY score DESC, ttf.tool) = 1)
 SELECT conv_id, turn, best.tool, coalesce(score, 0.0) AS score FROM asked LEFT JOIN best USING (question)""")
 
+oracle("buyers_by_sketch", "SELECT product_name, count(DISTINCT customer_id) AS customers, true AS within_bound FROM purchases GROUP BY product_name")
+
 # --- incremental index -----------------------------------------------------------
 
 oracle("index_sync_triggered", index_rows("documents", "doc_id", "text"))

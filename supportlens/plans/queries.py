@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from supportlens.functions import derive
 from supportlens.functions.expressions import FINISHED, rounded, rows
 from supportlens.operators import change_feed as feeds
-from supportlens.operators import block_index, checks, customer, lookups, product, quantised, revenue, support
+from supportlens.operators import block_index, checks, customer, lookups, product, quantised, revenue, sketches, support
 from supportlens.operators import text_index, vector_search
 from supportlens.plans import cross_domain, history, patterns, routing, tools
 from supportlens.session import new_dir, spread, state_of, stored, written
@@ -385,6 +385,16 @@ def _(t):
     return routing.route_questions(asked, ["conv_id", "turn"], "text", tools.tool_comments(t.spark))
 
 
+@query("buyers_by_sketch")
+def _(t):
+    # Customers per product from stored daily sketches, next to the exact number.
+    orders = t.purchases("product_name", "customer_id", "order_date")
+    daily = written(sketches.daily_sketches(orders, F.col("order_date"), ["product_name"], "customer_id"), "daily-buyers")
+    exact = orders.groupBy("product_name").agg(F.count_distinct("customer_id").alias("customers"))
+    both = exact.join(sketches.distinct_estimates(daily, ["product_name"]), "product_name")
+    return both.select("product_name", "customers", sketches.within_bound(F.col("estimate"), F.col("customers")).alias("within_bound"))
+
+
 # --- incremental index -----------------------------------------------------------
 
 
