@@ -193,6 +193,7 @@ SELECT 'tickets_index' AS index_name, 'ticket_id' AS key_column, 'description' A
        max(ticket_id) AS last_key, true AS stamped FROM support_tickets
 UNION ALL SELECT 'reviews_index', 'review_id', 'review_text', count(*), max(review_id), true FROM product_reviews""")
 
+oracle("managed_table", "SELECT category, count(*) AS products, max(price) AS highest_price, false AS database_left FROM products GROUP BY category")
 oracle("latest_manifest", """
 WITH daily AS (
     SELECT 'tickets_index' AS index_name, CAST(date_trunc('day', created_at) AS TIMESTAMP) AS created_at, count(*) AS documents
@@ -532,6 +533,18 @@ ranked AS (
 SELECT review_id, product_name, rating, matches, quote FROM ranked WHERE matches > 0
 QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY matches DESC, i) = 1""")
 
+oracle("weighted_quotes", f"""
+WITH {term_tables('product_reviews', 'review_id', 'review_text')},
+raw AS (SELECT w, ln((SELECT count(*) FROM product_reviews) / count(*)) AS raw FROM tf WHERE list_contains({QUOTE_WORDS}, w) GROUP BY w),
+weight AS (SELECT w, raw / sqrt((SELECT sum(raw * raw) FROM raw)) AS qw FROM raw WHERE raw > 0),
+parts AS (
+    SELECT review_id, product_name, rating, unnest(p) AS s, generate_subscripts(p, 1) AS i
+    FROM (SELECT *, string_split_regex(review_text, '[.!?\\n]+') AS p FROM product_reviews)),
+met AS (SELECT review_id, i, w FROM (SELECT review_id, i, unnest(list_distinct({SPLIT.format('s')})) AS w FROM parts)),
+summed AS (SELECT review_id, i, round(sum(qw), 6) AS matches FROM met JOIN weight USING (w) GROUP BY review_id, i)
+SELECT review_id, product_name, rating, matches, trim(s, ' ') AS quote FROM summed JOIN parts USING (review_id, i) WHERE matches > 0
+QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY matches DESC, i) = 1""")
+
 oracle("template_clusters", """
 SELECT regexp_replace(regexp_replace(regexp_replace(subject, '"[^"]*"', '<quoted>', 'g'), '[A-Z]+-[0-9]+', '<code>', 'g'), '[0-9]+', '<number>', 'g') AS template,
        count(*) AS tickets, count(DISTINCT customer_id) AS customers FROM support_tickets GROUP BY template""")

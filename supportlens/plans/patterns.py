@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from supportlens.functions.expressions import percent, rounded, rows
 from supportlens.functions.text import bind, masked, tokens
 from supportlens.operators.checks import union_all
-from supportlens.operators.text_index import TextIndex, matching
+from supportlens.operators.text_index import DIGITS, TextIndex, matching
 from supportlens.session import spread
 
 SENTENCE_END = r"[.!?\n]+"
@@ -119,19 +119,25 @@ def verified_vs_all(tables) -> DataFrame:
     )
 
 
-def key_quotes(tables, text: str) -> DataFrame:
+def key_quotes(tables, text: str, weights: dict[str, float] | None = None) -> DataFrame:
     """The sentence of each review that holds most of the words of ``text``; the earliest wins.
 
-    Works inside each row: nothing is shuffled.
+    With the ``weights`` of a search text (``text_index.query_weights``) it is the sentence whose words weigh most, and
+    ``matches`` is their sum: what the sentence gives to the search. Works inside each row: nothing is shuffled.
     """
-    words = sorted({w for w in text.lower().split() if w.isalpha()})
+    words = sorted(weights) if weights is not None else sorted({w for w in text.lower().split() if w.isalpha()})
+    weight_of = F.create_map(*[F.lit(x) for w in words for x in (w, (weights or {}).get(w, 1.0))])
     wanted = F.array(*[F.lit(w) for w in words])
     reviews = spread(tables.product_reviews("review_id", "product_name", "rating", "review_text"))
 
     def matches(sentence):
         # Splitting into words is left out where no word occurs even as part of another.
         some = F.lower(sentence).rlike("|".join(words))
-        return F.when(some, F.size(F.array_intersect(tokens(sentence), wanted))).otherwise(0)
+        found = F.array_intersect(tokens(sentence), wanted)
+        if weights is None:
+            return F.when(some, F.size(found)).otherwise(0)
+        total = F.aggregate(F.array_sort(found), F.lit(0.0), lambda acc, w: acc + F.element_at(weight_of, w))
+        return F.when(some, F.round(total, DIGITS)).otherwise(0.0)
 
     ranked = F.transform(
         F.split(F.col("review_text"), SENTENCE_END),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -215,6 +216,19 @@ def _(t):
     )
 
 
+@query("managed_table")
+def _(t):
+    # A database is made, a table is saved in it twice and read by name, and the database is dropped again.
+    database = f"support_{uuid.uuid4().hex[:12]}"
+    storage.save_table(t.products().limit(1), database, "products")
+    saved = storage.save_table(t.products(), database, "products")
+    per_category = saved.groupBy("category").agg(rows().alias("products"), F.max("price").alias("highest_price"))
+    result = written(per_category, "managed-read")
+    storage.drop_database(t.spark, database)
+    left = any(d.name == database for d in t.spark.catalog.listDatabases())
+    return result.withColumn("database_left", F.lit(left))
+
+
 @query("latest_manifest")
 def _(t):
     # One manifest entry per index and day on which its source grew.
@@ -545,6 +559,11 @@ def _(t):
     return patterns.key_quotes(t, TEXT_INTEGRATION)
 
 
+@query("weighted_quotes")
+def _(t):
+    return patterns.key_quotes(t, TEXT_INTEGRATION, text_index.query_weights(reviews_index(t), TEXT_INTEGRATION))
+
+
 @query("template_clusters")
 def _(t):
     return patterns.template_clusters(t)
