@@ -286,17 +286,6 @@ oracle("search_filtered", search_sql(
     condition="priority = 'Critical' AND status NOT IN ('Resolved', 'Closed')"))
 
 
-def hashed(source: str, key: str, text: str, prefix: str) -> str:
-    """CTE ``{prefix}vec`` (key, place, v): non-zero places of the hashed unit vectors."""
-    sign = "CASE WHEN ('0x' || substr(md5(w), 7, 1))::INT < 8 THEN 1 ELSE -1 END"
-    return f"""
-{term_tables(source, key, text, prefix)},
-{prefix}raw AS (SELECT {key}, ('0x' || substr(md5(w), 1, 6))::INT % 256 AS place, sum({sign} * (1 + ln(tf))) AS v
-                FROM {prefix}tf GROUP BY ALL),
-{prefix}vec AS (SELECT r.{key}, place, v / len AS v FROM {prefix}raw r
-                JOIN (SELECT {key}, sqrt(sum(v * v)) AS len FROM {prefix}raw GROUP BY {key}) USING ({key}) WHERE len > 0)"""
-
-
 def nearest(k: int) -> str:
     return f"""
 SELECT query_id, neighbour_id, search_score, row_number() OVER (PARTITION BY query_id ORDER BY search_score DESC, neighbour_id) AS rank
