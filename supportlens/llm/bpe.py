@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from supportlens.llm.tokens import Cache
 
 #: Entries of each cache; longer keys aren't kept.
-CACHED, KEPT_CHARS = 400_000, 48
+CACHED, KEPT_CHARS = 250_000, 48
 MARKS = ".,;:!?)"
 #: Bytes of text after which a batch of results is handed on, and after which a text is encoded in parts.
 HANDED, PART_CHARS = 1 << 20, 1 << 16
