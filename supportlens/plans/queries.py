@@ -405,7 +405,8 @@ def _(t):
 def _(t):
     path, checkpoint = new_dir(t.spark, "synced-index"), new_dir(t.spark, "sync-checkpoint")
     schema = t.raw("documents").schema
-    index_sync.sync_now(t.spark, t.sf_dir, "documents.parquet", schema, "doc_id", "text", path, checkpoint)
+    # The table may be a file or a folder of files. As a glob, its path is listed either way.
+    index_sync.sync_now(t.spark, f"{t.sf_dir}/{{documents.parquet}}", "*.parquet", schema, "doc_id", "text", path, checkpoint)
     return _index_rows(index_sync.current(t.spark, path, "doc_id"), "doc_id")
 
 

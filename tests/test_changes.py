@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from supportlens.operators.change_feed import apply_changes, change_feed
 from supportlens.operators.text_index import search, text_vectors, write_index
 from supportlens.session import new_dir, shared_dir, state_of, stored, written
+from supportlens.plans.queries import QUERIES
 from supportlens.sources import storage
 from supportlens.streaming import index_sync
 from tests.conftest import as_set
@@ -231,3 +232,14 @@ def test_shared_folder_comes_from_the_session():
         shared_dir(Session(None, "yarn"))
     local = Session(None, "local[2]")
     assert shared_dir(local) == shared_dir(local)
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_table_in_parts_is_synced(spark, tmp_path, parts):
+    # A folder of files, beside another table.
+    rows = [(i, "alpha beta" + " gamma" * (i % 3)) for i in range(9)] + [(9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(99, "other")], "doc_id long, text string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = QUERIES["index_sync_triggered"](spark, str(tmp_path))
+    assert {(r.doc_id, r.n_tokens) for r in got.collect()} == {(i, 2 + i % 3) for i in range(9)} | {(9, 0)}
