@@ -2,7 +2,9 @@
 
 Vectors are put into lists around trained centroids, about as many lists as the square root of their number, and each
 is stored as a code: the nearest of 256 codewords for each of several groups of dimensions. A search scores the codes
-of the closest lists with one table of inner products per question, and the best candidates again with their vectors.
+of the closest lists by inner products with the vectors they stand for, and the best candidates again with their own
+vectors. Lists next to each other make up tiles (see ``vector_search``), so a question is sent to each tile once, however
+many lists it probes there, and a tile returns its best candidates only.
 How many lists and candidates that takes is found by questions whose true neighbours are known.
 
 Centroids and codewords are fitted on a bounded sample and decide cost and recall only; every row is in the index.
@@ -19,12 +21,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from supportlens.functions.vectors import dot
-from supportlens.operators.vector_search import BLOCK, CHUNK, DIGITS, _best_places, _matrix, best_per_query, usable
+from supportlens.operators.vector_search import BLOCK, CHUNK, DIGITS, PROBES, Tiles, _best_places, _joined, _matrix, best_in_tile, best_per_query, in_tiles, usable
 from supportlens.session import written
 
 #: Rows that centroids and codewords are fitted on at most, and of them for each list; questions that calibrate a search.
@@ -69,24 +70,24 @@ class Codebooks:
     def codes(self, rows: np.ndarray) -> np.ndarray:
         return np.stack([nearest(rows[:, g], w) for g, w in zip(self.groups, self.words, strict=True)], axis=1).astype(np.uint8)
 
-    def tables(self, asked: np.ndarray) -> list[np.ndarray]:
-        """Inner products of each question with the codewords, by group."""
-        return [asked[:, g] @ w.T for g, w in zip(self.groups, self.words, strict=True)]
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for."""
+        return np.concatenate([w[codes[:, i]] for i, w in enumerate(self.words)], axis=1)
 
 
 @dataclass(frozen=True)
 class QuantisedIndex:
-    """``vectors``: neighbour_id and vector; ``codes``: neighbour_id, list and code of every vector."""
+    """``vectors``: neighbour_id and vector; ``codes``: these with list and code of every vector."""
 
     spark: SparkSession
     vectors: DataFrame
     codes: DataFrame
     books: Codebooks
-    sizes: dict[int, int]
+    sizes: np.ndarray
 
     @property
     def total(self) -> int:
-        return sum(self.sizes.values())
+        return int(self.sizes.sum())
 
 
 def fit(vectors: DataFrame, vector: str, total: int, dims: int) -> Codebooks:
@@ -108,26 +109,30 @@ def write_index(vectors: DataFrame, key: str, vector: str, path: str) -> Quantis
     rows.write.parquet(f"{path}/vectors")
     stored = spark.read.parquet(f"{path}/vectors")
     books = fit(stored, "vector", stored.count(), max(dims, 1))
-    schema = T.StructType([stored.schema["neighbour_id"], T.StructField("list", T.IntegerType()), T.StructField("code", T.BinaryType())])
+    schema = T.StructType([stored.schema["neighbour_id"], stored.schema["vector"], T.StructField("list", T.IntegerType()), T.StructField("code", T.BinaryType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = _matrix(batch.column("vector"), dims)
             codes = [c.tobytes() for c in books.codes(found)]
-            columns = [batch.column("neighbour_id"), pa.array(nearest(found, books.centroids).astype(np.int32)), pa.array(codes, pa.binary())]
+            columns = [batch.column("neighbour_id"), batch.column("vector"), pa.array(nearest(found, books.centroids).astype(np.int32)), pa.array(codes, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     stored.mapInArrow(encode, schema).write.parquet(f"{path}/codes")
     codes = spark.read.parquet(f"{path}/codes")
-    sizes = {r["list"]: r["count"] for r in codes.groupBy("list").count().collect()}
+    sizes = np.zeros(len(books.centroids), int)
+    for r in codes.groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
     return QuantisedIndex(spark, stored, codes, books, sizes)
 
 
-def _probes(index: QuantisedIndex, queries: DataFrame, key: str, vector: str, probes: int) -> DataFrame:
-    """Rows (query_id, query_vector, list): the lists whose centroids score best."""
+def _probes(index: QuantisedIndex, tiles: Tiles, queries: DataFrame, key: str, vector: str, probes: int) -> DataFrame:
+    """Rows (query_id, query_vector, least, codes, probes): the lists whose centroids score best, by tile, and the number
+    of codes in them."""
     dims = index.books.centroids.shape[1]
     asked = usable(queries.select(F.col(key).alias("query_id"), F.col(vector).alias("query_vector")), "query_vector", dims)[0]
-    centroids = index.books.centroids
+    asked = asked.withColumn("least", F.lit(float("-inf")))
+    centroids, sizes = index.books.centroids, index.sizes
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -135,51 +140,34 @@ def _probes(index: QuantisedIndex, queries: DataFrame, key: str, vector: str, pr
                 batch = whole.slice(start, BLOCK)
                 scores = _matrix(batch.column("query_vector"), dims) @ centroids.T
                 order = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
-                at = pa.array(np.repeat(np.arange(batch.num_rows), order.shape[1]))
-                yield pa.RecordBatch.from_arrays([*[c.take(at) for c in batch.columns], pa.array(order.ravel().astype(np.int32))], ["query_id", "query_vector", "list"])
+                chosen = np.zeros(scores.shape, bool)
+                np.put_along_axis(chosen, order, True, axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chosen @ sizes), tiles.probed(chosen & (sizes > 0))], [*batch.schema.names, "codes", "probes"])
 
-    return asked.mapInArrow(choose, T.StructType([*asked.schema, T.StructField("list", T.IntegerType())]))
+    return asked.mapInArrow(choose, T.StructType([*asked.schema, T.StructField("codes", T.LongType()), T.StructField("probes", PROBES)]))
 
 
-def _approximate(index: QuantisedIndex, probed: DataFrame, candidates: int, exclude_self: bool) -> DataFrame:
-    """The best ``candidates`` by code of each question: (query_id, neighbour_id, search_score)."""
-    asked = {r["list"]: r["count"] for r in probed.groupBy("list").count().collect()}
-    # One row per list, of which there are SAMPLE / PER_LIST at most.
-    cuts = F.broadcast(index.spark.createDataFrame(
-        [(i, -(-index.sizes.get(i, 0) // CHUNK), -(-n // CHUNK)) for i, n in asked.items() if i in index.sizes], "list int, index_chunks int, query_chunks int"
-    ))
-
-    def chunk(column: str, chunks: str):
-        return F.pmod(F.xxhash64(column), F.col(chunks)).cast("int")
-
-    def every(chunks: str):
-        return F.explode(F.sequence(F.lit(0), F.col(chunks) - 1))
-
-    left = probed.join(cuts, "list").select("list", "query_id", "query_vector", chunk("query_id", "query_chunks").alias("query_chunk"), every("index_chunks").alias("index_chunk"))
-    right = index.codes.join(cuts, "list").select("list", "neighbour_id", "code", chunk("neighbour_id", "index_chunks").alias("index_chunk"), every("query_chunks").alias("query_chunk"))
+def _candidates(index: QuantisedIndex, tiles: Tiles, probed: DataFrame, candidates: int, exclude_self: bool) -> DataFrame:
+    """The best ``candidates`` by code of each question and tile: (query_id, neighbour_id, code_score, search_score)."""
     books, dims = index.books, index.books.centroids.shape[1]
-    schema = T.StructType([probed.schema["query_id"], index.codes.schema["neighbour_id"], T.StructField("search_score", T.DoubleType())])
-
-    def score(group: tuple, asked: pa.Table, coded: pa.Table) -> pa.Table:
-        keys = coded.column("neighbour_id").combine_chunks()
-        codes = np.frombuffer(b"".join(coded.column("code").to_pylist()), np.uint8).reshape(len(keys), -1)
-        parts = []
-        for start in range(0, len(asked) if len(keys) else 0, BLOCK):
-            part = asked.slice(start, BLOCK)
-            ids = part.column("query_id").combine_chunks()
-            tables = books.tables(_matrix(part.column("query_vector"), dims))
-            found = np.zeros((len(part), len(keys)))
-            for i, table in enumerate(tables):
-                found += table[:, codes[:, i]]
-            if exclude_self:
-                found[ids.to_numpy(zero_copy_only=False)[:, None] == keys.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
-            row, place, value = _best_places(found, candidates)
-            parts.append(pa.table({"query_id": ids.take(pa.array(row)), "neighbour_id": keys.take(pa.array(place)), "search_score": pa.array(value)}))
-        empty = pa.table({"query_id": asked.column("query_id").slice(0, 0), "neighbour_id": keys.slice(0, 0), "search_score": pa.array([], pa.float64())})
-        return pa.concat_tables([empty, *parts])
-
-    keys = ["list", "query_chunk", "index_chunk"]
-    return best_per_query(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema), candidates).drop("rank")
+    doubles = [T.StructField(name, T.DoubleType()) for name in ("code_score", "search_score")]
+    schema = T.StructType([probed.schema["query_id"], index.codes.schema["neighbour_id"], *doubles])
+
+    def score(first: int, cells: int, asked: pa.Table, coded: pa.Table) -> pa.Table:
+        keys, found, values = coded.column("neighbour_id").combine_chunks(), [], [np.zeros(0)]
+        if len(keys):
+            codes = np.frombuffer(b"".join(coded.column("code").to_pylist()), np.uint8).reshape(len(keys), -1)
+            vectors, questions = _matrix(coded.column("vector"), dims), _matrix(asked.column("query_vector"), dims)
+            for row, place, value in best_in_tile(asked, keys, coded.column("cell").to_numpy() - first, books.decoded(codes), cells, candidates, exclude_self, None):
+                found.append((row, place, value))
+                # So many pairs at a time.
+                for i in range(0, len(row), CHUNK):
+                    values.append(np.einsum("ij,ij->i", questions[row[i : i + CHUNK]], vectors[place[i : i + CHUNK]]))
+        row, place, value = _joined(found)
+        exact = np.round(np.concatenate(values), DIGITS)
+        return pa.table({"query_id": asked.column("query_id").take(row), "neighbour_id": keys.take(place), "code_score": pa.array(value), "search_score": pa.array(exact)})
+
+    return in_tiles(index.codes.withColumnRenamed("list", "cell"), probed.drop("codes"), tiles, score, schema)
 
 
 def search(
@@ -187,12 +175,12 @@ def search(
 ) -> DataFrame:
     """``(query_id, neighbour_id, search_score, rank)`` with exact inner products of the best ``candidates`` by code
     from the ``probes`` closest lists. Equal scores go by key."""
-    probed = written(_probes(index, queries, key, vector, probes), "quantised-probes")
-    found = _approximate(index, probed, candidates, exclude_self).select("query_id", "neighbour_id")
-    asked = queries.select(F.col(key).alias("query_id"), F.col(vector).cast("array<double>").alias("query_vector"))
-    met = found.join(index.vectors, "neighbour_id").join(asked, "query_id")
-    scored = met.select("query_id", "neighbour_id", F.round(dot(F.col("query_vector"), F.col("vector")), DIGITS).alias("search_score"))
-    return best_per_query(scored, k)
+    tiles = Tiles(index.sizes)
+    probed = written(_probes(index, tiles, queries, key, vector, probes), "quantised-probes")
+    found = _candidates(index, tiles, probed, candidates, exclude_self)
+    order = Window.partitionBy("query_id").orderBy(F.desc("code_score"), "neighbour_id")
+    kept = found.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= candidates)
+    return best_per_query(kept.drop("_place", "code_score"), k)
 
 
 def _truth(index: QuantisedIndex, asked: list, k: int) -> DataFrame:
@@ -243,7 +231,5 @@ def calibrate(index: QuantisedIndex, k: int, target: float) -> tuple[int, int]:
 
 def scored_share(index: QuantisedIndex, queries: DataFrame, key: str, vector: str, probes: int) -> float:
     """Share of all codes that a search looks at for these questions."""
-    sizes = index.codes.groupBy("list").count()
-    looked = _probes(index, queries, key, vector, probes).groupBy("list").agg(F.count(F.lit(1)).alias("n")).join(sizes, "list")
-    row = looked.agg(F.sum(F.col("n") * F.col("count")).alias("codes")).first()
+    row = _probes(index, Tiles(index.sizes), queries, key, vector, probes).agg(F.sum("codes").alias("codes")).first()
     return (row["codes"] or 0) / max(1, index.total * queries.count())

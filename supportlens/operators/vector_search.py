@@ -1,9 +1,11 @@
 """Nearest neighbours by inner product: one query, all queries, exact or approximate. Vectors may have any length.
 
 The index is split into lists around centroids, and large lists into rings by the
-angle to their centroid. A list or ring may hold a third of all vectors, so these
-cells are cut into chunks of bounded size, on the index and on the query side; each
-pair of chunks is scored by matrix products and keeps only its k best per query.
+angle to their centroid. Neighbouring cells make up tiles of bounded size, and a larger
+cell is cut into parts; queries are cut likewise. A query goes to each tile once, with a
+bit for each cell that it probes there, so that what is shuffled follows from the
+numbers of vectors and tiles, not of cells. A tile and a part of its queries are scored by matrix
+products and keep only the k best per query.
 
 The exact join probes each query's nearest list first. The k-th score found there
 rules out every cell whose best possible score, from the triangle inequality on
@@ -32,8 +34,10 @@ from supportlens.functions.vectors import dot
 from supportlens.session import new_dir, written
 
 CHUNK = 4096
-# Queries scored at a time, which bounds the memory of a task.
-BLOCK = 256
+# Queries and vectors of the index scored at a time, which bounds the memory of a task.
+BLOCK, STRIP = 256, 4096
+# Vectors in a tile, and tiles that a table is cut into while they are no larger and no smaller than that.
+TILE_MIN, TILE_MAX, TILES = 1024, 65536, 8
 MAX_LISTS = 1024
 RINGS = 32
 DIGITS = 6
@@ -57,6 +61,41 @@ def vector_top_k(vectors: DataFrame, key: str, vector: str, query: list[float],
     return scored.orderBy(F.desc("search_score"), key).limit(k)
 
 
+class Tiles:
+    """Cells in a row as tiles: ``of[c]`` is the tile of cell ``c``, ``first[t]`` and ``cells[t]`` are the first cell of
+    a tile and their number, and ``parts[t]`` says in how many parts it is cut, which is one but for a single large cell."""
+
+    def __init__(self, sizes: np.ndarray):
+        self.rows = max(TILE_MIN, min(TILE_MAX, -(-int(sizes.sum()) // TILES)))
+        of, totals = [], []
+        for size in sizes.tolist():
+            if not totals or totals[-1] + size > self.rows:
+                totals.append(0)
+            totals[-1] += size
+            of.append(len(totals) - 1)
+        self.of, self.parts = np.array(of, int), -(-np.maximum(np.array(totals, int), 1) // self.rows)
+        self.cells = np.bincount(self.of, minlength=len(totals))
+        self.first = np.cumsum(self.cells) - self.cells
+
+    def probed(self, chosen: np.ndarray) -> pa.Array:
+        """For each row of a matrix of queries by cells, the tiles that it needs and the bits of their cells."""
+        wide = -(-self.cells // 8)
+        begins = np.cumsum(wide) - wide
+        padded = np.zeros((len(chosen), 8 * int(wide.sum())), bool)
+        padded[:, 8 * begins[self.of] + np.arange(len(self.of)) - self.first[self.of]] = chosen
+        packed = np.packbits(padded, axis=1)
+        if not len(self.cells):
+            return pa.array([[]] * len(chosen), pa.list_(pa.struct([("tile", pa.int32()), ("bits", pa.binary())])))
+        row, tile = np.nonzero(np.logical_or.reduceat(chosen, self.first, axis=1))
+        bits = [packed[r, b : b + w].tobytes() for r, b, w in zip(row.tolist(), begins[tile].tolist(), wide[tile].tolist())]
+        entries = pa.StructArray.from_arrays([pa.array(tile.astype(np.int32)), pa.array(bits, pa.binary())], ["tile", "bits"])
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(chosen) + 1)).astype(np.int32)), entries)
+
+
+#: What ``Tiles.probed`` returns.
+PROBES = T.ArrayType(T.StructType([T.StructField("tile", T.IntegerType()), T.StructField("bits", T.BinaryType())]))
+
+
 class Lists:
     """Centroids of the lists, and reach and size of their cells.
 
@@ -68,6 +107,7 @@ class Lists:
     def __init__(self, centroids: np.ndarray, list_of: np.ndarray, inner: np.ndarray, outer: np.ndarray, sizes: np.ndarray, short: np.ndarray, long: np.ndarray):
         self.centroids, self.list_of, self.inner, self.outer, self.sizes = centroids, list_of, inner, outer, sizes
         self.short, self.long = short, long
+        self.tiles = Tiles(sizes)
 
 
 def usable(vectors: DataFrame, vector: str, dims: int | None = None) -> tuple[DataFrame, int]:
@@ -165,21 +205,16 @@ def place_in_lists(index: DataFrame, key: str, vector: str, list_id: str) -> tup
 
 
 def _choose_cells(queries: DataFrame, key: str, vector: str, lists: Lists, choose, extra: str = "") -> DataFrame:
-    """Rows ``(query_id, query_vector, cell)``: the cells each query probes.
+    """Stored rows ``(query_id, query_vector, least, probes)``: the tiles each query needs, and its cells there.
 
     ``choose(cosines, lengths, found)`` returns a boolean matrix of queries by cells;
     ``lengths`` are those of the query vectors, ``found`` holds the values of the
-    extra column.
+    extra column, a score that an answer has to reach.
     """
-    centroids, filled = lists.centroids, lists.sizes > 0
+    centroids, filled, tiles = lists.centroids, lists.sizes > 0, lists.tiles
     queries = usable(queries, vector, centroids.shape[1])[0]
-    schema = T.StructType(
-        [
-            T.StructField("query_id", queries.schema[key].dataType),
-            T.StructField("query_vector", T.ArrayType(T.DoubleType())),
-            T.StructField("cell", T.IntegerType()),
-        ]
-    )
+    least = F.col(extra) if extra else F.lit(float("-inf"))
+    asked = queries.select(F.col(key).alias("query_id"), F.col(vector).cast("array<double>").alias("query_vector"), least.alias("least"))
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -187,20 +222,11 @@ def _choose_cells(queries: DataFrame, key: str, vector: str, lists: Lists, choos
                 batch = whole.slice(start, BLOCK)
                 asked = _matrix(batch.column("query_vector"), centroids.shape[1])
                 cosines = np.clip(_unit(asked) @ centroids.T, -1.0, 1.0)
-                found = batch.column(extra).to_numpy(zero_copy_only=False) if extra else None
-                row, cell = np.nonzero(choose(cosines, np.linalg.norm(asked, axis=1), found) & filled)
-                taken = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("query_id").take(taken),
-                        batch.column("query_vector").take(taken),
-                        pa.array(cell.astype(np.int32)),
-                    ],
-                    names=["query_id", "query_vector", "cell"],
-                )
-
-    columns = [F.col(key).alias("query_id"), F.col(vector).cast("array<double>").alias("query_vector")]
-    return queries.select(*columns, *([extra] if extra else [])).mapInArrow(probes, schema)
+                found = batch.column("least").to_numpy(zero_copy_only=False)
+                chosen = choose(cosines, np.linalg.norm(asked, axis=1), found) & filled
+                yield pa.RecordBatch.from_arrays([*batch.columns, tiles.probed(chosen)], names=[*batch.schema.names, "probes"])
+
+    return written(asked.mapInArrow(probes, T.StructType([*asked.schema, T.StructField("probes", PROBES)])), "knn-probes")
 
 
 def _nearest(lists: Lists, n: int):
@@ -246,74 +272,117 @@ def _best_places(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
     return row[kept], place[kept], value[kept]
 
 
-def _score_chunks(k: int, dims: int, exclude_self: bool):
-    def score(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("neighbour_id")
-        asked, keys = left.column("query_id").combine_chunks(), right.column("neighbour_id").combine_chunks()
-        index = _matrix(right.column("vector"), dims)
-        query_ids, neighbour_ids, values = [asked.slice(0, 0)], [keys.slice(0, 0)], [np.zeros(0)]
-        for start in range(0, len(asked) if len(keys) else 0, BLOCK):
-            part = left.slice(start, BLOCK)
-            ids = part.column("query_id").combine_chunks()
-            found = np.round(_matrix(part.column("query_vector"), dims) @ index.T, DIGITS)
-            if exclude_self:
-                found[ids.to_numpy(zero_copy_only=False)[:, None] == keys.to_numpy(zero_copy_only=False)[None, :]] = -np.inf
-            row, place, value = _best_places(found, k)
-            query_ids.append(ids.take(pa.array(row)))
-            neighbour_ids.append(keys.take(pa.array(place)))
-            values.append(value)
-        return pa.table(
-            {
-                "query_id": pa.concat_arrays(query_ids),
-                "neighbour_id": pa.concat_arrays(neighbour_ids),
-                "search_score": pa.array(np.concatenate(values)),
-            }
-        )
-
-    return score
+def best_in_tile(
+    asked: pa.Table, keys: pa.Array, cell: np.ndarray, vectors: np.ndarray, cells: int, k: int, exclude_self: bool, digits: int | None = DIGITS
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The ``k`` best vectors of a tile for its queries: places in ``asked``, places in ``keys`` and scores, by blocks.
+
+    ``keys`` are in order, so that equal scores go by key; ``cell`` counts from the first cell of the tile. A row of
+    ``asked`` has its id, vector, the bits of its cells and ``least``, below which no score is wanted.
+    """
+    order = np.argsort(cell, kind="stable")
+    strips = [np.sort(order[i : i + STRIP]) for i in range(0, len(order), STRIP)]
+    strips = [(at, np.ascontiguousarray(vectors[at].T), cell[at]) for at in strips]
+    names = keys.to_numpy(zero_copy_only=False)
+    for start in range(0, len(asked), BLOCK):
+        part = asked.slice(start, BLOCK)
+        ids, matrix = part.column("query_id").to_numpy(), _matrix(part.column("query_vector"), vectors.shape[1])
+        bits = np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint8).reshape(len(part), -1)
+        wanted, least = np.unpackbits(bits, axis=1, count=cells).astype(bool), part.column("least").to_numpy().copy()
+        best = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        for at, strip, place in strips:
+            low, high = place.min(), place.max() + 1
+            rows = np.flatnonzero(wanted[:, low:high].any(axis=1))
+            for kind in (np.isneginf(least[rows]), ~np.isneginf(least[rows])):
+                some = rows[kind]
+                if not len(some):
+                    continue
+                scores, bound = matrix[some] @ strip, least[some]
+                if np.isneginf(bound[0]):
+                    # Nothing is known of these yet: the best of the strip.
+                    scores[~wanted[some][:, place]] = -np.inf
+                    if exclude_self:
+                        scores[ids[some][:, None] == names[at][None, :]] = -np.inf
+                    row, column, value = _best_places(scores if digits is None else np.round(scores, digits), k)
+                else:
+                    row, column = np.nonzero(scores >= (bound - SLACK * np.maximum(1.0, np.abs(bound)))[:, None])
+                    kept = wanted[some[row], place[column]]
+                    if exclude_self:
+                        kept &= ids[some[row]] != names[at[column]]
+                    row, column = row[kept], column[kept]
+                    value = scores[row, column] if digits is None else np.round(scores[row, column], digits)
+                best = _merged([best, (some[row], at[column], value)], k)
+            # Rows with k results need no lower ones.
+            full = np.bincount(best[0], minlength=len(part)) >= k
+            last = np.searchsorted(best[0], np.flatnonzero(full), "right") - 1
+            least[full] = np.maximum(least[full], best[2][last])
+        yield best[0] + start, best[1], best[2]
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best of each row of several results; earlier places win ties."""
+    row, place, value = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((place, -value, row))
+    row, place, value = row[order], place[order], value[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[kept], place[kept], value[kept]
 
 
 def best_per_query(pairs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best rows of each query. Groups hold k rows per scored chunk at most."""
+    """The ``k`` best rows of each query. Groups hold k rows per scored tile at most."""
     order = Window.partitionBy("query_id").orderBy(F.desc("search_score"), "neighbour_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _scored(placed: DataFrame, probes: DataFrame, lists: Lists, k: int, exclude_self: bool) -> DataFrame:
-    """k best neighbours per query and pair of chunks, for the cells each query probes."""
-    asked = {r["cell"]: r["n"] for r in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # One row per cell that is probed, at most (MAX_LISTS + 1) * RINGS.
-    cuts = F.broadcast(
-        placed.sparkSession.createDataFrame(
-            [(cell, -(-int(lists.sizes[cell]) // CHUNK), -(-n // CHUNK)) for cell, n in asked.items()],
-            "cell int, index_chunks int, query_chunks int",
-        )
-    )
+def in_tiles(index: DataFrame, chosen: DataFrame, tiles: Tiles, score, schema: T.StructType) -> DataFrame:
+    """What ``score(first cell, cells, queries, vectors)`` returns for each tile of the index and part of its queries.
+
+    ``index`` has ``neighbour_id``, ``cell`` and more, ``chosen`` is a stored table with ``query_id``, ``probes`` and more.
+    """
+    spark = index.sparkSession
+    asked = {r["tile"]: r["n"] for r in chosen.select(F.explode("probes.tile").alias("tile")).groupBy("tile").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # One row per cell, and one per tile that is needed.
+    of = F.broadcast(spark.createDataFrame([(cell, tile) for cell, tile in enumerate(tiles.of.tolist())], "cell int, tile int"))
+    cuts = F.broadcast(spark.createDataFrame([(tile, int(tiles.parts[tile]), -(-n // tiles.rows)) for tile, n in asked.items()], "tile int, parts int, query_parts int"))
 
-    def chunk(column: str, chunks: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.col(chunks)).cast("int")
+    def part(column: str, parts: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.col(parts)).cast("int")
 
-    def every(chunks: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(chunks) - 1))
+    def every(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
 
-    left = probes.join(cuts, "cell").select(
-        "cell", "query_id", "query_vector",
-        chunk("query_id", "query_chunks").alias("query_chunk"), every("index_chunks").alias("index_chunk"),
-    )
-    right = placed.join(cuts, "cell").select(
-        "cell", "neighbour_id", "vector",
-        chunk("neighbour_id", "index_chunks").alias("index_chunk"), every("query_chunks").alias("query_chunk"),
-    )
-    keys = ["cell", "query_chunk", "index_chunk"]
-    schema = T.StructType(
-        [
-            T.StructField("query_id", probes.schema["query_id"].dataType),
-            T.StructField("neighbour_id", placed.schema["neighbour_id"].dataType),
-            T.StructField("search_score", T.DoubleType()),
-        ]
-    )
-    score = _score_chunks(k, lists.centroids.shape[1], exclude_self)
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, schema)
+    sent = chosen.select(*[c for c in chosen.columns if c != "probes"], F.explode("probes").alias("_probe")).select("*", "_probe.*").drop("_probe")
+    left = sent.join(cuts, "tile").withColumn("query_part", part("query_id", "query_parts")).withColumn("part", every("parts")).drop("parts", "query_parts")
+    right = index.join(of, "cell").join(cuts, "tile").withColumn("part", part("neighbour_id", "parts")).withColumn("query_part", every("query_parts")).drop("parts", "query_parts")
+    first, cells = tiles.first, tiles.cells
+
+    def run(group: tuple, asked: pa.Table, vectors: pa.Table) -> pa.Table:
+        tile = group[0].as_py()
+        return score(int(first[tile]), int(cells[tile]), asked, vectors.sort_by("neighbour_id"))
+
+    keys = ["tile", "query_part", "part"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
+
+
+def _scored(placed: DataFrame, chosen: DataFrame, lists: Lists, k: int, exclude_self: bool) -> DataFrame:
+    """k best neighbours per query and tile, for the cells each query probes."""
+    dims = lists.centroids.shape[1]
+    schema = T.StructType([chosen.schema["query_id"], placed.schema["neighbour_id"], T.StructField("search_score", T.DoubleType())])
+
+    def score(first: int, cells: int, asked: pa.Table, vectors: pa.Table) -> pa.Table:
+        keys = vectors.column("neighbour_id").combine_chunks()
+        cell = vectors.column("cell").to_numpy() - first
+        found = [*best_in_tile(asked, keys, cell, _matrix(vectors.column("vector"), dims), cells, k, exclude_self)] if len(keys) else []
+        row, place, value = _joined(found)
+        return pa.table({"query_id": asked.column("query_id").take(row), "neighbour_id": keys.take(place), "search_score": pa.array(value)})
+
+    return in_tiles(placed, chosen, lists.tiles, score, schema)
+
+
+def _joined(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Results of several blocks as one."""
+    row, place, value = (np.concatenate(c) for c in zip((np.zeros(0, int), np.zeros(0, int), np.zeros(0)), *found))
+    return pa.array(row), pa.array(place), value
 
 
 def knn_approximate(
@@ -340,7 +409,7 @@ def knn_exact(
         F.when(F.count(F.lit(1)) >= k, F.min("search_score")).otherwise(float("-inf")).alias("kth")
     )
     bounded = queries.join(kth, key, "left").select(key, vector, F.coalesce("kth", F.lit(float("-inf"))).alias("kth"))
-    far = written(_choose_cells(bounded, key, vector, lists, _still_possible(lists), extra="kth"), "knn-far")
+    far = _choose_cells(bounded, key, vector, lists, _still_possible(lists), extra="kth")
     second = _scored(placed, far, lists, k, exclude_self)
     return best_per_query(first.unionByName(second), k)
 

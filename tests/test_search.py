@@ -261,3 +261,20 @@ def test_routing(spark):
     found = {r.q: (r.tool, r.score) for r in route_questions(asked, ["q"], "text", tools).collect()}
     assert found[1][0] == "money" and found[2][0] == "people"
     assert found[3] == (None, 0.0) and found[4] == (None, 0.0)
+
+
+@pytest.mark.parametrize("rows, exact", [(64, True), (8, True), (64, False)])
+def test_a_query_goes_to_a_tile_once(spark, monkeypatch, rows, exact):
+    # Sixteen lists, most of which each query has to probe: rows per query follow from the tiles, not from the lists.
+    monkeypatch.setattr(vector_search, "TILE_MIN", rows)
+    monkeypatch.setattr(vector_search, "TILE_MAX", rows)
+    monkeypatch.setattr(vector_search, "STRIP", 24)
+    vectors = unit(np.random.default_rng(31).normal(size=(256, 12)))
+    df = frame(spark, vectors, np.arange(256) % 16)
+    if exact:
+        assert pairs(vector_search.knn_exact(df, df, "id", "v", "label", k=3, exclude_self=True)) == brute_neighbours(vectors, vectors, 3, True)
+        return
+    placed, lists = vector_search.place_in_lists(df, "id", "v", "label")
+    chosen = vector_search._choose_cells(df, "id", "v", lists, vector_search._nearest(lists, 12))
+    assert len(lists.tiles.cells) == 4 and max(len(r["probes"]) for r in chosen.collect()) <= 4
+    assert chosen.count() == 256
