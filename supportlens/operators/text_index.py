@@ -3,9 +3,9 @@
 An index folder holds four tables: ``vectors`` (one row per document, with its term
 counts and length), ``postings`` (one row per document and term, with the document's
 unit-length weight), ``terms`` (how many documents hold a term) and ``manifest`` (one
-row: what was indexed, how many documents, when). Postings are range-partitioned and sorted by term
-and key, so a search reads only the row groups of its terms, and a term that
-occurs in a third of all documents spreads over many files.
+row: what was indexed, how many documents, when). Each task writes the postings of its own documents,
+sorted by term and key, in small row groups: none is shuffled, a search reads the row groups and pages of
+its terms in every file, and a term that occurs in a third of all documents spreads over all files.
 
 Documents are matched by word, not by meaning. The score is the cosine between the
 document's log-tf vector and the query's log-tf times ln(N / document frequency).
@@ -25,7 +25,8 @@ from supportlens.session import spread
 from supportlens.sources.storage import manifest_row
 
 DIGITS = 6
-POSTINGS_PER_FILE = 20_000_000
+#: Bytes of a row group of postings; a search skips those without its terms.
+ROW_GROUP = 16 << 20
 
 
 def text_vectors(docs: DataFrame, text: str) -> DataFrame:
@@ -75,21 +76,17 @@ class TextIndex:
         return {r["term"]: r["n"] for r in _among(table, terms).collect()}
 
 
-def write_postings(vectors: DataFrame, key: str, path: str, target: str = "postings") -> int:
-    """Write the postings of stored vectors, in as many files as their number asks for."""
-    spark = vectors.sparkSession
-    total = vectors.agg(F.sum("n_terms").alias("n")).first()["n"] or 0
-    files = max(spark.sparkContext.defaultParallelism, -(-total // POSTINGS_PER_FILE))
-    ranged = postings_of(vectors, key).repartitionByRange(files, "term", key)
-    ranged.sortWithinPartitions("term", key).write.mode("overwrite").parquet(f"{path}/{target}")
-    return files
+def write_postings(vectors: DataFrame, key: str, path: str, target: str = "postings") -> None:
+    """Write the postings of stored vectors, sorted where the vectors are read."""
+    sorted_rows = postings_of(vectors, key).sortWithinPartitions("term", key)
+    sorted_rows.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(f"{path}/{target}")
 
 
 def finish_index(index: TextIndex, name: str, text: str) -> TextIndex:
     """Write everything that follows from the stored vectors; the manifest comes last."""
-    files = write_postings(index.vectors, index.key, index.path)
-    counted = index.postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    counted.repartitionByRange(files, "term").sortWithinPartitions("term").write.parquet(f"{index.path}/terms")
+    write_postings(index.vectors, index.key, index.path)
+    counted = index.vectors.select(F.explode("counts.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counted.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{index.path}/terms")
     manifest_row(index.vectors, name, index.key, text, index.path).write.parquet(f"{index.path}/manifest")
     return index
 

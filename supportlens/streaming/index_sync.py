@@ -20,29 +20,45 @@ from pyspark.sql.types import DateType, StructType, TimestampType
 
 from supportlens.operators.change_feed import AFTER, DELETE, INSERT
 from supportlens.operators.text_index import TextIndex, finish_index, text_vectors, write_postings
-from supportlens.session import spread
+from supportlens.session import spread, written
 
 
 def write_version(
-    rows: DataFrame, key: str, text: str, path: str, version: int, deleted: str | None = None, sequence: str | None = None
+    rows: DataFrame, key: str, text: str, path: str, version: int, deleted: str | None = None, sequence: str | None = None,
+    few_tasks: bool = True,
 ) -> None:
     """Index the rows as one version.
 
     ``deleted`` names a boolean column of tombstones. ``sequence`` names the column, a
     number or a time, whose largest value is the newest state of a key, in this and in
     all other increments. Rows without one are older than those with one; of equally
-    new rows the later increment counts, and in one increment the largest row.
+    new rows the later increment counts, and in one increment the largest row. Only rows
+    whose key repeats are moved to each other; all are spread where ``few_tasks`` hold them.
     """
     order = _as_long(rows, sequence) if sequence else F.lit(None).cast("long")
     others = [c for c in rows.columns if c not in (key, sequence, "sequence")]
     rows = rows.select(key, *others, order.alias("sequence"))
-    rows = rows.groupBy(key).agg(F.max(F.struct("sequence", *others)).alias("_newest")).select(key, *[f"_newest.{c}" for c in (*others, "sequence")])
+    rows = _newest(rows, key, others)
     marked = rows.withColumnRenamed(deleted, "deleted") if deleted else rows.withColumn("deleted", F.lit(False))
     target = f"{path}/version={version}"
-    text_vectors(spread(marked), text).write.mode("overwrite").parquet(target)
+    text_vectors(spread(marked) if few_tasks else marked, text).write.mode("overwrite").parquet(target)
     write_postings(rows.sparkSession.read.parquet(target), key, postings_of_versions(path), f"version={version}")
 
 
+def _newest(rows: DataFrame, key: str, others: list[str]) -> DataFrame:
+    """One row of each key, the largest by sequence and other columns."""
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = written(counted.select(F.col(key).alias("_repeated")), "repeated-keys")
+    if repeated.isEmpty():
+        return rows.select(key, *others, "sequence")
+    # Null is a key as well.
+    same = F.col(key).eqNullSafe(F.col("_repeated"))
+    newest = rows.join(repeated, same, "left_semi").groupBy(key).agg(F.max(F.struct("sequence", *others)).alias("_newest"))
+    return rows.join(repeated, same, "left_anti").select(key, *others, "sequence").union(
+        newest.select(key, *[f"_newest.{c}" for c in (*others, "sequence")])
+    )
+
+
 def _as_long(rows: DataFrame, column: str) -> Column:
     if isinstance(rows.schema[column].dataType, TimestampType):
         return F.unix_micros(column)
@@ -146,7 +162,8 @@ def start_sync(
     first = first_version(spark, path, checkpoint)
 
     def index_batch(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, key, text, path, first + batch_id, sequence=sequence)
+        few = batch.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+        write_version(batch, key, text, path, first + batch_id, sequence=sequence, few_tasks=few)
 
     writer = rows.writeStream.foreachBatch(index_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)

@@ -13,7 +13,7 @@ from supportlens.session import new_dir, shared_dir, state_of, stored, written
 from supportlens.plans.queries import QUERIES
 from supportlens.sources import storage
 from supportlens.streaming import index_sync
-from tests.conftest import as_set
+from tests.conftest import as_set, plan_of
 
 SCHEMA = "id bigint, a int, b int, text string"
 
@@ -243,3 +243,21 @@ def test_a_table_in_parts_is_synced(spark, tmp_path, parts):
     spark.createDataFrame([(99, "other")], "doc_id long, text string").write.parquet(str(tmp_path / "pages.parquet"))
     got = QUERIES["index_sync_triggered"](spark, str(tmp_path))
     assert {(r.doc_id, r.n_tokens) for r in got.collect()} == {(i, 2 + i % 3) for i in range(9)} | {(9, 0)}
+
+
+def test_only_rows_with_a_repeated_key_are_moved(spark):
+    path = new_dir(spark, "repeated")
+    rows = spark.createDataFrame([(1, 1, "old"), (1, 2, "new"), (2, 1, "one"), (None, 1, "a"), (None, 1, "b"), (3, None, "none")], "id long, seq long, text string")
+    index_sync.write_version(rows, "id", "text", path, 0, sequence="seq")
+    got = spark.read.parquet(path).select("id", F.col("counts.term")[0].alias("t"))
+    assert {tuple(r) for r in got.collect()} == {(1, "new"), (2, "one"), (None, "b"), (3, "none")} and got.count() == 4
+    alone = index_sync._newest(rows.where("id > 1").withColumn("sequence", F.col("seq")), "id", ["text"])
+    assert "Exchange" not in plan_of(alone) and "SortAggregate" not in plan_of(alone)
+
+
+def test_postings_are_written_without_a_shuffle(spark):
+    path = new_dir(spark, "index")
+    docs = spark.createDataFrame([(i, f"term{'abc'[i % 3]} every") for i in range(30)], "id long, text string")
+    index = write_index(docs, "id", "text", path)
+    files = index.postings.select("term", F.input_file_name().alias("file")).where("term = 'every'").distinct()
+    assert files.count() == index.vectors.select(F.input_file_name()).distinct().count() > 1
