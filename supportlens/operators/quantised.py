@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from supportlens.functions.vectors import dot
 from supportlens.operators.vector_search import BLOCK, CHUNK, DIGITS, PROBES, Tiles, _best_places, _joined, _matrix, best_in_tile, best_per_query, in_tiles, usable
 from supportlens.session import written
 
@@ -179,8 +180,27 @@ def search(
     probed = written(_probes(index, tiles, queries, key, vector, probes), "quantised-probes")
     found = _candidates(index, tiles, probed, candidates, exclude_self)
     order = Window.partitionBy("query_id").orderBy(F.desc("code_score"), "neighbour_id")
-    kept = found.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= candidates)
-    return best_per_query(kept.drop("_place", "code_score"), k)
+    kept = found.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= candidates).drop("_place", "code_score")
+    return best_per_query(_by_rows(index, kept.where("query_id IS NOT NULL AND neighbour_id IS NOT NULL"), probed), k)
+
+
+def _by_rows(index: QuantisedIndex, kept: DataFrame, probed: DataFrame) -> DataFrame:
+    """Scored pairs; one whose ids stand for several rows is compared once more for each of these."""
+    repeated = {}
+    for key, rows in (("query_id", probed), ("neighbour_id", index.codes)):
+        counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        repeated[key] = written(counted.select(key), "repeated-ids")
+    some = {key: ids for key, ids in repeated.items() if not ids.isEmpty()}
+    if not some:
+        return kept
+    for key, ids in some.items():
+        kept = kept.join(ids.withColumn(f"_{key}", F.lit(True)), key, "left")
+    # No null: a pair is on one side or the other.
+    several = F.coalesce(*[F.col(f"_{key}") for key in some], F.lit(False))
+    asked = probed.select("query_id", "query_vector")
+    met = kept.where(several).select("query_id", "neighbour_id").join(index.vectors, "neighbour_id").join(asked, "query_id")
+    scored = met.select("query_id", "neighbour_id", F.round(dot(F.col("query_vector"), F.col("vector")), DIGITS).alias("search_score"))
+    return kept.where(~several).select(*scored.columns).unionByName(scored)
 
 
 def _truth(index: QuantisedIndex, asked: list, k: int) -> DataFrame:

@@ -56,3 +56,17 @@ def test_odd_rows_and_empty_tables(spark, tmp_path):
     none = quantised.write_index(df.where("id > 9"), "id", "v", str(tmp_path / "none"))
     assert quantised.calibrate(none, 5, 0.9) == (1, 5)
     assert quantised.search(none, df, "id", "v").count() == 0
+
+
+def test_repeated_ids_stand_for_all_their_rows(spark, tmp_path):
+    vectors = np.random.default_rng(8).normal(size=(12, 6))
+    df = frame(spark, vectors, np.zeros(12))
+    twice = df.union(df.where("id < 6"))
+    index = quantised.write_index(twice, "id", "v", str(tmp_path / "index"))
+    found = quantised.search(index, twice, "id", "v", 12, probes=1000, candidates=1000, exclude_self=True).collect()
+    # Rows for a pair: those of the codes and questions that met, times those that its ids stand for.
+    for q in range(12):
+        want = []
+        for n in sorted((n for n in range(12) if n != q), key=lambda n: -round(float(vectors[q] @ vectors[n]), 6)):
+            want += [n] * ((2 if q < 6 else 1) * (2 if n < 6 else 1)) ** 2
+        assert [r["neighbour_id"] for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] == want[:12]
