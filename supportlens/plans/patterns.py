@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+import zlib
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from supportlens.functions.expressions import percent, rounded, rows
-from supportlens.functions.text import bind, masked, tokens
+from supportlens.functions.text import masked, tokens
 from supportlens.operators.checks import union_all
 from supportlens.operators.text_index import DIGITS, TextIndex, matching
 from supportlens.session import spread
@@ -14,6 +23,12 @@ from supportlens.session import spread
 SENTENCE_END = r"[.!?\n]+"
 # A ticket counts as a match of a text from this score on: about as much as one rare word out of ten in common.
 MIN_SCORE = 0.1
+#: Words whose pairs are added up at once, about, and reviews for each share of the pairs.
+WORDS, REVIEWS = 1 << 21, 2000
+MIXED = np.uint64(0x9E3779B97F4A7C15)
+
+# Tasks get these functions with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def each(df: DataFrame, elements: Column, name: str, *others: str) -> DataFrame:
@@ -68,22 +83,51 @@ def error_patterns(tables) -> DataFrame:
     return per_customer.groupBy("pattern").agg(F.sum("n").alias("tickets"), rows().alias("customers"))
 
 
-def review_themes(tables, min_customers: int = 2, limit: int | None = None) -> DataFrame:
-    """Word pairs that several customers mention; with a ``limit``, those of most customers."""
-    reviews = spread(tables.product_reviews("customer_id", "review_text"))
+def _pairs_in_shares(shares: int, schema: pa.Schema) -> Callable:
+    """Rows (customer, words) of a review -> (share, data): record batches of two words that follow each other, a customer
+    and their number of reviews, added up for some reviews at a time. The words decide the share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+            cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // WORDS, prepend=-1)).tolist()
+            for first, stop in zip(cuts, [*cuts[1:], len(lengths)]):
+                customers, words = batch.column(0)[first:stop].dictionary_encode("encode"), batch.column(1)[first:stop].flatten().dictionary_encode()
+                codes, wide, by = words.indices.to_numpy().astype(np.int64), max(len(words.dictionary), 1), max(len(customers.dictionary), 1)
+                review, n = np.repeat(np.arange(stop - first), lengths[first:stop]), stop - first
+                follows = review[1:] == review[:-1]
+                # Once per review.
+                once = np.unique((codes[:-1] * wide + codes[1:])[follows] * n + review[1:][follows])
+                found, times = np.unique(once // n * by + customers.indices.to_numpy()[once % n], return_counts=True)
+                hashes = np.array([zlib.crc32(w.encode()) for w in words.dictionary.to_pylist()], np.uint64)
+                left, right = found // by // wide, found // by % wide
+                share = (((hashes[left] << np.uint64(32) | hashes[right]) * MIXED >> np.uint64(33)) % np.uint64(shares)).astype(np.int32)
+                order = np.argsort(share, kind="stable")
+                share, (left, right) = share[order], (words.dictionary.take(pa.array(c[order])) for c in (left, right))
+                columns = [pc.binary_join_element_wise(left, right, " "), customers.dictionary.take(pa.array(found[order] % by)), pa.array(times[order])]
+                rows, begins = pa.RecordBatch.from_arrays(columns, schema=schema), np.flatnonzero(np.diff(share, prepend=-1)).tolist()
+                data = (rows.slice(a, z - a).serialize().to_pybytes() for a, z in zip(begins, [*begins[1:], len(share)]))
+                yield pa.RecordBatch.from_arrays([pa.array(share[begins]), pa.array(data, pa.binary())], ["share", "data"])
+
+    return run
 
-    def pairs(words: Column) -> Column:
-        followed = F.transform(words, lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
-        return F.array_distinct(F.filter(followed, lambda pair: pair.isNotNull()))
 
-    themes = (
-        each(reviews, bind(tokens(F.col("review_text")), pairs), "theme", "customer_id")
-        .groupBy("theme", "customer_id")
-        .agg(rows().alias("n"))
-        .groupBy("theme")
-        .agg(rows().alias("customers"), F.sum("n").alias("reviews"))
-        .where(F.col("customers") >= min_customers)
-    )
+def review_themes(tables, min_customers: int = 2, limit: int | None = None) -> DataFrame:
+    """Word pairs that several customers mention; with a ``limit``, those of most customers."""
+    asked = tables.product_reviews("customer_id", "review_text")
+    reviews = spread(asked).select("customer_id", tokens(F.col("review_text")).alias("words"))
+    schema = pa.schema([("theme", pa.string()), ("customer_id", to_arrow_type(reviews.schema["customer_id"].dataType)), ("n", pa.int64())])
+    shares = -(-asked.select("customer_id").count() // REVIEWS) or 1
+
+    def summed(table: pa.Table) -> pa.Table:
+        parts = [pa.ipc.read_record_batch(data.as_buffer(), schema) for data in table.column("data")]
+        per_customer = pa.Table.from_batches(parts).group_by(["theme", "customer_id"], use_threads=False).aggregate([("n", "sum")])
+        found = per_customer.group_by("theme", use_threads=False).aggregate([("n_sum", "count"), ("n_sum", "sum")])
+        return found.filter(pc.field("n_sum_count") >= min_customers).select(["theme", "n_sum_count", "n_sum_sum"]).rename_columns(["theme", "customers", "reviews"])
+
+    # Pairs are many and most are rare, so little can be added up before the shuffle, and rows of their own would cost most.
+    dealt = reviews.mapInArrow(_pairs_in_shares(shares, schema), "share int, data binary")
+    themes = dealt.groupBy("share").applyInArrow(summed, "theme string, customers long, reviews long")
     if limit is None:
         return themes
     return themes.orderBy(F.desc("customers"), F.desc("reviews"), "theme").limit(limit)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from supportlens.functions.expressions import priority_score, rounded
 from supportlens.operators import customer, product, revenue, support
-from supportlens.plans import cross_domain, history
+from supportlens.plans import cross_domain, history, patterns
 from supportlens.sources.domain import StarTables
 from tests.conftest import as_set, plan_of
 
@@ -108,3 +109,23 @@ def test_hot_customer_equals_the_written_out_join(spark, tables):
         rounded(F.avg(priority_score(F.col("priority"))), 2).alias("avg_ticket_priority_score"),
     )
     assert as_set(product.correlation_metrics(t)) == as_set(naive)
+
+
+def test_word_pairs_are_added_up_after_one_shuffle(tables, monkeypatch):
+    # Several batches of words and shares of pairs; customers and texts may be missing, and a review repeats a pair.
+    monkeypatch.setattr(patterns, "REVIEWS", 2)
+    monkeypatch.setattr(patterns, "WORDS", 5)
+    draw = random.Random(3)
+    reviews = [{"customer_id": draw.choice(["a", "b", "c", None]), "review_text": " ".join(draw.choices(["Top", "top", "é", "slow,", "1"], k=draw.randint(0, 9)))} for _ in range(60)]
+    reviews += [{"customer_id": "a", "review_text": None}, {"customer_id": "d", "review_text": "only here"}, {"customer_id": "d", "review_text": "only here"}]
+    seen = {}
+    for r in reviews:
+        words = re.findall(r"[^\W\d_]+", (r["review_text"] or "").lower())
+        for theme in {f"{a} {b}" for a, b in zip(words, words[1:])}:
+            seen.setdefault(theme, []).append(r["customer_id"])
+    found = patterns.review_themes(tables(product_reviews=reviews))
+    assert {tuple(r) for r in found.collect()} == {(t, len(set(c)), len(c)) for t, c in seen.items() if len(set(c)) > 1}
+    assert ("only here", 1, 2) in {tuple(r) for r in patterns.review_themes(tables(product_reviews=reviews), min_customers=1).collect()}
+    # One exchange serves the sums by pair and customer, and those by pair.
+    assert plan_of(patterns.review_themes(tables(product_reviews=reviews))).count("hashpartitioning") == 1
+    assert patterns.review_themes(tables()).count() == 0
