@@ -33,6 +33,8 @@ from supportlens.llm.tokens import Cache
 #: Entries of each cache; longer keys aren't kept.
 CACHED, KEPT_CHARS = 250_000, 48
 MARKS = ".,;:!?)"
+AFTER_LATIN = "\u0250"
+LATIN = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
 #: Bytes of text after which a batch of results is handed on, and after which a text is encoded in parts.
 HANDED, PART_CHARS = 1 << 20, 1 << 16
 
@@ -79,14 +81,29 @@ def bpe_model(ranks: dict[bytes, int]):
     return models.BPE(vocab={as_characters(t): r for t, r in ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0)
 
 
+def _latin(piece: str) -> bool:
+    """Whether a piece is a word of letters that every version of Unicode and of the pattern's library knows as such."""
+    return piece.isalpha() and (piece.isascii() or max(piece) < AFTER_LATIN)
+
+
 class _Words(Cache):
     """Pieces after a blank. A word and the one mark behind it are two matches, which aren't kept together."""
 
     def __missing__(self, piece: str) -> bytes:
-        word = piece[:-1]
-        if word.isalpha() and piece.isascii() and piece[-1] in MARKS:
-            return self[word] + self.marks[piece[-1]]
-        return super().__missing__(piece)
+        if piece[-1:] in self.ends and _latin(piece[:-1]):
+            return self[piece[:-1]] + self.ends[piece[-1]]
+        value = self.old.get(piece)
+        if value is None:
+            if piece.isascii() and piece.isalpha():
+                # Most of what is computed: one match, of characters that stand for themselves.
+                value = array("I", [t.id for t in self.tokenize(self.blank + piece)]).tobytes()
+            else:
+                value = self.compute(piece)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = value
+        return value
 
 
 class Pieces:
@@ -100,11 +117,12 @@ class Pieces:
         self.tokenize, self.findall = model.tokenize, regex.compile(pattern).findall
         self.special, self.whole = special, whole
         self.blank = byte_characters()[32]
-        self.plain = self.findall("ab cd, ef" + MARKS) == ["ab", " cd", ",", " ef", MARKS] and not any(m in MARKS for m in special)
+        self.plain = self.findall("ab cd, ef" + MARKS) == ["ab", " cd", ",", " ef", MARKS] and self.findall("a " + LATIN) == ["a", " " + LATIN] and not any(m in MARKS for m in special)
         self.matches = Cache(self._match, CACHED // 2)
         self.first = Cache(self._piece, CACHED // 8)
         self.later = (_Words if self.plain else Cache)(self._later, CACHED)
-        self.later.marks = self.matches
+        if self.plain:
+            self.later.tokenize, self.later.blank, self.later.ends = self.tokenize, self.blank, {m: self._match(m) for m in MARKS}
 
     def _match(self, match: str) -> bytes:
         if match.isascii() and match.isprintable():
@@ -118,7 +136,7 @@ class Pieces:
         return self._match(" " + piece) if self._is_word(piece) else self._piece(" " + piece)
 
     def _is_word(self, piece: str) -> bool:
-        return self.plain and piece.isascii() and piece.isalpha()
+        return self.plain and _latin(piece)
 
     def _piece(self, piece: str) -> bytes:
         if any(s in piece for s in self.special):

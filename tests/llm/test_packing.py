@@ -30,6 +30,20 @@ def test_ids_are_the_librarys():
         assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_latin_words_are_one_match(monkeypatch):
+    # Words of Latin letters, and one mark behind them, are encoded without the pattern; other letters go through it.
+    library, asked = Tokenizer.from_file(PATH), []
+    packing._pieces.cache_clear()
+    encoder = packing._pieces(PATH)
+    findall = encoder.findall
+    monkeypatch.setattr(encoder, "findall", lambda piece: asked.append(piece) or findall(piece))
+    for text, other in [("x ñandúes niñez, Über. ßa łódź", []), ("x ﬁn, слово ªº ɐb d'été", [" ﬁn,", " слово", " ɐb", " d'été"]), ("x é1 e\u0301t a²", [" é1", " e\u0301t", " a²"])]:
+        asked.clear()
+        ids = np.frombuffer(encoder.encoded(text), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids and [a for a in asked if a != "x"] == other
+    packing._pieces.cache_clear()
+
+
 def test_fill_finds_the_largest_sum():
     chance = random.Random(1)
     for _ in range(200):
