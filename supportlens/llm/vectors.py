@@ -6,10 +6,11 @@ halves' distances to the cell (squared distance to the boundary of the half's ow
 than the squared distance to a vector in the cell, which is 2 - 2 * cosine; the traversal stops above this value for
 the threshold, so that no link is lost. All candidates are verified by their cosine in double precision.
 
-Equal vectors are one class from the start. Cells are cut into chunks of bounded size, so that a cell with very many
-vectors is the work of many tasks. From each chunk, the vectors that visit a cell travel there together; of two cells
-only the lower one visits the other. A task holds one chunk and compares what visits it: it emits how many links each
-vector has and a spanning forest of the links.
+Equal vectors are one class from the start. Cells are cut into chunks of bounded size, and neighbouring cells make up
+tiles of bounded size; a larger cell is cut into parts. From each chunk, the vectors that visit a tile travel there
+together and once, with a bit for each cell of the tile that they visit; of two cells only the lower one visits the
+other. A task holds the chunks of a tile and compares what visits them: it emits how many links each vector has and a
+spanning forest of the links.
 """
 
 from __future__ import annotations
@@ -38,8 +39,14 @@ SAMPLE = 8192
 CELL, CENTROIDS, ROUNDS, CHUNK = 2048, 256, 10, 2048
 #: Visitors compared with a chunk at a time.
 BLOCK = 512
-#: Groups of visitors that meet a chunk in one place; more are dealt out to copies of the chunk.
+#: Groups of visitors that meet a tile in one place; more are dealt out to copies of the tile.
 VISITORS = 64
+#: Bytes of a chunk at most, of a tile at most, vectors and cells of a tile, tiles of a small table.
+CHUNK_BYTES, TILE_BYTES, TILE_LEAST, TILE_CELLS, TILES = 1 << 20, 1 << 24, 2048, 256, 8
+#: Visits that a task holds at a time.
+VISITS = 1 << 18
+#: Partitions that tiles are dealt to at most, if the session has fewer.
+PARTITIONS = 4096
 
 
 def usable(vector: Column) -> Column:
@@ -129,42 +136,92 @@ def _assigned(classes: DataFrame, index: MultiIndex, dim: int) -> DataFrame:
     return written(classes.select("id", "n", "vector").mapInArrow(run, "cell long, id long, n long, vector binary"), "vector-cells")
 
 
-PARCEL = "visitor boolean, chunk long, cell long, ids binary, ns binary, vectors binary"
-
-
-def _parcels(assigned: DataFrame, index: MultiIndex, kind: str) -> DataFrame:
-    """The chunks of all cells, and for each chunk the vectors of it that visit its own or a higher cell, by cell."""
-    schema = pa.schema([("visitor", pa.bool_()), ("chunk", pa.int64()), ("cell", pa.int64()), ("ids", pa.binary()), ("ns", pa.binary()), ("vectors", pa.binary())])
+@dataclass(frozen=True)
+class Tiles:
+    """Neighbouring cells: the tile of each cell, and of each tile its first cell and the parts that it is cut into."""
+
+    filled: np.ndarray
+    of: np.ndarray
+    first: np.ndarray
+    parts: np.ndarray
+
+    @staticmethod
+    def cut(sizes: np.ndarray, most: int) -> Tiles:
+        """Tiles of ``most`` vectors at most, but for single larger cells."""
+        rows = min(most, max(TILE_LEAST, -(-int(sizes.sum()) // TILES)))
+        of, first, totals = [], [], []
+        for cell, size in enumerate(sizes.tolist()):
+            if not totals or totals[-1] + size > rows or cell - first[-1] == TILE_CELLS:
+                first.append(cell)
+                totals.append(0)
+            totals[-1] += size
+            of.append(len(totals) - 1)
+        return Tiles(sizes > 0, np.array(of), np.array(first), -(-np.maximum(np.array(totals), 1) // rows))
+
+
+def _tiles(assigned: DataFrame, index: MultiIndex, width: int) -> Tiles:
+    """Tiles of the cells of a table whose vectors have ``width`` bytes."""
+    sizes = np.zeros(len(index.books[0]) * len(index.books[1]), np.int64)
+    # A row per cell, of which there are CENTROIDS squared at most.
+    for cell, n in assigned.groupBy("cell").count().collect():
+        sizes[cell] = n
+    return Tiles.cut(sizes, max(1, TILE_BYTES // width))
+
+
+PARCEL = "visitor boolean, chunk long, cell long, tile int, ids binary, ns binary, vectors binary, bits binary"
+
+
+def _parcels(assigned: DataFrame, index: MultiIndex, tiles: Tiles, kind: str, width: int) -> DataFrame:
+    """The chunks of all cells, and for each chunk and tile the vectors of it that visit its own or a higher cell there."""
+    binary = ("ids", "ns", "vectors", "bits")
+    schema = pa.schema([("visitor", pa.bool_()), ("chunk", pa.int64()), ("cell", pa.int64()), ("tile", pa.int32()), *[(c, pa.binary()) for c in binary]])
+    most, many = max(1, min(CHUNK, CHUNK_BYTES // width)), VISITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, at = TaskContext.get().partitionId() << 32, [], None
 
-        def out():
+        def row(*values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
+
+        def out() -> Iterator[pa.RecordBatch]:
             nonlocal number, held
             ids, ns, blobs = zip(*held, strict=True)
             ids, ns, vectors = np.array(ids, np.int64), np.array(ns, np.int64), np.frombuffer(b"".join(blobs), kind).reshape(len(ids), -1)
+            yield row(False, number, at, int(tiles.of[at]), ids.tobytes(), ns.tobytes(), vectors.tobytes(), None)
+
+            def sent(visits: list[np.ndarray], end: int) -> Iterator[pa.RecordBatch]:
+                guest, cell = np.repeat(np.arange(end - len(visits), end), [len(v) for v in visits]), np.concatenate(visits)
+                by_tile = np.argsort(tiles.of[cell], kind="stable")
+                for some in np.split(by_tile, np.flatnonzero(np.diff(tiles.of[cell[by_tile]])) + 1):
+                    tile = int(tiles.of[cell[some[0]]])
+                    mine, place = np.unique(guest[some], return_inverse=True)
+                    inner = cell[some] - tiles.first[tile]
+                    bits = np.zeros((len(mine), int(inner.max()) + 1), bool)
+                    bits[place, inner] = True
+                    yield row(True, number, at, tile, ids[mine].tobytes(), ns[mine].tobytes(), vectors[mine].tobytes(), np.packbits(bits, axis=1).tobytes())
+
             _, (first, second) = index.distances(units(vectors.astype(np.float64)))
-            visits: dict[int, list[int]] = {}
+            visits, total = [], 0
             for i, (a, b) in enumerate(zip(first, second, strict=True)):
-                for cell in index.visits(a, b):
-                    if cell >= at:
-                        visits.setdefault(cell, []).append(i)
-            rows = [(False, number, at, ids.tobytes(), ns.tobytes(), vectors.tobytes())]
-            rows += [(True, number, cell, ids[mine].tobytes(), ns[mine].tobytes(), vectors[mine].tobytes()) for cell, mine in sorted(visits.items())]
+                met = np.array(index.visits(a, b), np.int64)
+                visits.append(met[(met >= at) & tiles.filled[met]])
+                total += len(visits[-1])
+                if total >= many or i + 1 == len(ids):
+                    yield from sent(visits, i + 1)
+                    visits, total = [], 0
             number, held = number + 1, []
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
             for cell, *rest in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-                if held and (cell != at or len(held) == CHUNK):
-                    yield out()
+                if held and (cell != at or len(held) == most):
+                    yield from out()
                 at = cell
                 held.append(rest)
         if held:
-            yield out()
+            yield from out()
 
     dealt = assigned.repartitionByRange("cell", "id").sortWithinPartitions("cell", "id")
-    return written(dealt.mapInArrow(run, PARCEL), "vector-parcels")
+    return written(dealt.mapInArrow(run, PARCEL), "vector-parcels", heavy=True)
 
 
 def linked(vectors: np.ndarray, others: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -185,52 +242,65 @@ def linked(vectors: np.ndarray, others: np.ndarray, threshold: float) -> tuple[n
     return np.concatenate([none, *x]), np.concatenate([none, *y])
 
 
-def _linked(parcels: DataFrame, kind: str, threshold: float) -> DataFrame:
+def _linked(parcels: DataFrame, tiles: Tiles, kind: str, threshold: float) -> DataFrame:
     """(id, n, label): how many vectors a class is linked to outside itself, and a smaller class it is connected to."""
-    chunks = parcels.filter("NOT visitor")
-    visited = parcels.filter("visitor").groupBy("cell").agg(F.ceil(F.count("*") / VISITORS).alias("places"))
-    targets = written(
-        chunks.select(F.col("chunk").alias("target"), "cell").join(written(visited, "vector-visited"), "cell"), "vector-targets"
-    )
-    blobs = ["ids", "ns", "vectors"]
-    own = chunks.withColumnRenamed("chunk", "target").join(targets.drop("cell"), "target").select(
-        "target", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place"), F.lit(False).alias("visitor"), F.lit(False).alias("inside"), *blobs
-    )
-    homes = chunks.select("chunk", F.col("cell").alias("home"))
-    guests = parcels.filter("visitor").join(targets, "cell").join(homes, "chunk").select(
-        "target", F.pmod(F.xxhash64("chunk"), F.col("places")).alias("place"), F.lit(True).alias("visitor"), (F.col("home") == F.col("cell")).alias("inside"), *blobs
-    )
-    dealt = own.unionByName(guests).repartition("target", "place").sortWithinPartitions("target", "place", "visitor")
+    # A row per tile.
+    visitors = parcels.filter("visitor").groupBy("tile").count().collect()
+    places = [(tile, int(tiles.parts[tile]), -(-n // VISITORS)) for tile, n in visitors]
+    spark = parcels.sparkSession
+    cuts = F.broadcast(spark.createDataFrame(places, "tile int, parts long, places long"))
+    blobs = ["ids", "ns", "vectors", "bits"]
+    met = parcels.join(cuts, "tile")
+    hashed = F.xxhash64("chunk")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    own = met.filter("NOT visitor").select("tile", F.pmod(hashed, F.col("parts")).alias("part"), every("places").alias("place"), "visitor", "cell", *blobs)
+    guests = met.filter("visitor").select("tile", every("parts").alias("part"), F.pmod(hashed, F.col("places")).alias("place"), "visitor", "cell", *blobs)
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(sum(p * q for _, p, q in places), PARTITIONS))
+    unit = ["tile", "part", "place"]
+    dealt = own.unionByName(guests).repartition(count, *unit).sortWithinPartitions(*unit, "visitor")
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("label", pa.int64())])
+    first = tiles.first
 
     def unpacked(row):
         ids = np.frombuffer(row["ids"], np.int64)
         return ids, np.frombuffer(row["ns"], np.int64), units(np.frombuffer(row["vectors"], kind).reshape(len(ids), -1).astype(np.float64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host = None
+        host, at = [], None
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = {c: batch.column(c)[at].as_py() for c in ("visitor", "inside", *blobs)}
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in (*unit, "visitor", "cell", *blobs)}
+                if at != (now := [row[c] for c in unit]):
+                    host, at = [], now
+                some = unpacked(row)
                 if not row["visitor"]:
-                    host = unpacked(row)
+                    host.append((row["cell"], some))
                     continue
-                ids, ns, vectors = unpacked(row)
-                x, y = linked(vectors, host[2], threshold)
-                if row["inside"]:
-                    # Both are of one cell: of two vectors, the one with the lower number visits the other.
-                    lower = ids[x] < host[0][y]
-                    x, y = x[lower], y[lower]
-                if not len(x):
-                    continue
-                names = np.concatenate((ids, host[0]))
-                # Sums of whole numbers, exact in double precision.
-                degree = np.concatenate((np.bincount(x, host[1][y], len(ids)), np.bincount(y, ns[x], len(host[0])))).astype(np.int64)
-                label = forest(len(names), x, y + len(ids))
-                some = np.flatnonzero(degree)
-                yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.array(degree[some]), pa.array(names[label[some]])], schema=schema)
-
-    return written(dealt.mapInArrow(run, "id long, n long, label long"), "vector-links")
+                bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8).reshape(len(some[0]), -1), axis=1)
+                for cell, (others, n_others, there) in host:
+                    inner = cell - first[row["tile"]]
+                    mine = np.flatnonzero(bits[:, inner]) if inner < bits.shape[1] else []
+                    if not len(mine):
+                        continue
+                    ids, ns, vectors = (c[mine] for c in some)
+                    x, y = linked(vectors, there, threshold)
+                    if row["cell"] == cell:
+                        # Both are of one cell: of two vectors, the one with the lower number visits the other.
+                        lower = ids[x] < others[y]
+                        x, y = x[lower], y[lower]
+                    if not len(x):
+                        continue
+                    names = np.concatenate((ids, others))
+                    # Sums of whole numbers, exact in double precision.
+                    degree = np.concatenate((np.bincount(x, n_others[y], len(ids)), np.bincount(y, ns[x], len(others)))).astype(np.int64)
+                    label = forest(len(names), x, y + len(ids))
+                    met = np.flatnonzero(degree)
+                    yield pa.RecordBatch.from_arrays([pa.array(names[met]), pa.array(degree[met]), pa.array(names[label[met]])], schema=schema)
+
+    return written(dealt.mapInArrow(run, "id long, n long, label long"), "vector-links", heavy=True)
 
 
 def _sample(classes: DataFrame, count: int) -> np.ndarray:
@@ -270,7 +340,9 @@ def near_duplicates(
     for dim, count in sorted(tuple(r) for r in classes.groupBy("dim").count().collect()):
         mine = classes.filter(F.col("dim") == dim)
         index = fit(_sample(mine, count), count, threshold)
-        some = _linked(_parcels(_assigned(mine, index, dim), index, kind), kind, threshold)
+        assigned, width = _assigned(mine, index, dim), dim * int(kind[-1])
+        tiles = _tiles(assigned, index, width)
+        some = _linked(_parcels(assigned, index, tiles, kind, width), tiles, kind, threshold)
         found = some if found is None else found.unionByName(some)
     if found is None:
         found = classes.select("id", "n", F.col("id").alias("label"))

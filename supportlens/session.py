@@ -6,7 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,11 +59,36 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage by writing ``df`` to the shared folder and reading it back."""
+#: Where single rows are large: bytes of an Arrow batch and of a Parquet row group, about. Both go through memory whole.
+HEAVY = 4 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = HEAVY) -> Iterator[None]:
+    """Jobs that run meanwhile pass rows to Python in batches of about ``size`` bytes."""
+    before = spark.conf.get(ARROW_BYTES, None)
+    spark.conf.set(ARROW_BYTES, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_BYTES)
+        else:
+            spark.conf.set(ARROW_BYTES, before)
+
+
+def written(df: DataFrame, name: str, heavy: bool = False) -> DataFrame:
+    """Cut the lineage by writing ``df`` to the shared folder and reading it back. ``heavy`` says that its rows, or
+    those that Python gets on the way, may have some 100 KB or more each: a task then holds few of them at a time."""
     spark = df.sparkSession
     path = new_dir(spark, name)
-    df.write.parquet(path)
+    if heavy:
+        # Parquet would look at the size of a row group after 100 rows only.
+        with small_batches(spark):
+            df.write.option("parquet.block.size", HEAVY).option("parquet.page.size.row.check.min", 1).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

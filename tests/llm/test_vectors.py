@@ -105,3 +105,47 @@ def test_the_traversal_visits_cells_in_order():
     sums = (first[:, None] + second[None]).ravel()
     assert sorted(got) == np.flatnonzero(sums <= 0.8).tolist()
     assert (np.diff(sums[got]) >= 0).all()
+
+
+def test_tiles_parts_and_places(spark, monkeypatch):
+    for name, value in (("CELL", 8), ("CHUNK", 4), ("TILE_LEAST", 20), ("TILE_CELLS", 3), ("VISITORS", 3), ("VISITS", 5)):
+        monkeypatch.setattr(vectors, name, value)
+    rng = np.random.default_rng(3)
+    rows = list(enumerate(crowd(rng, 300, 6, 0.1) + (1.0 + 0.001 * rng.random((60, 6))).tolist()))
+    # Tiles of 24 vectors, of which the sixty near copies are a cell.
+    monkeypatch.setattr(vectors, "TILE_BYTES", 24 * 6 * 8)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_a_vector_travels_once_to_a_tile_however_many_cells_it_visits(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CELL", 8)
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(1000, 16))
+    classes = spark.createDataFrame([(i, 1, v) for i, v in enumerate(points.tolist())], "id long, n long, vector array<double>")
+    sent = []
+    monkeypatch.setattr(vectors, "_linked", lambda parcels, *_: sent.append(parcels) or classes.selectExpr("id", "n", "id AS label"))
+    vectors.near_duplicates(classes.selectExpr("id AS vec_id", "vector AS embedding"))
+    held, guests = (sent[0].filter(f).selectExpr("coalesce(sum(length(ids)), 0) / 8").first()[0] for f in ("NOT visitor", "visitor"))
+    assert held == len(points) <= guests <= 2 * len(points)
+    cells = sent[0].filter("NOT visitor").select("cell").distinct().count()
+    assert cells > 20
+
+
+def test_rows_of_large_values_are_few_in_a_batch_and_a_row_group(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from supportlens.session import ARROW_BYTES, HEAVY, written
+
+    def run(batches):
+        for batch in batches:
+            assert batch.nbytes < 2 * HEAVY
+            random = np.random.default_rng(batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([random.bytes(640_000) for _ in range(batch.num_rows)], pa.binary())], batch.schema.names)
+
+    rows = spark.range(0, 40, 1, 1).select("id", F.expr("cast(repeat('x', 640000) AS binary)").alias("value"))
+    stored = written(rows.mapInArrow(run, rows.schema), "heavy", heavy=True)
+    assert stored.count() == 40 and spark.conf.get(ARROW_BYTES, None) is None
+    groups = [f.metadata.row_group(i).num_rows for path in stored.inputFiles() for f in [pq.ParquetFile(path.removeprefix("file://"))] for i in range(f.num_row_groups)]
+    assert sum(groups) == 40 and max(groups) < 20
