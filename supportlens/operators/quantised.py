@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from supportlens.functions.vectors import dot
-from supportlens.operators.vector_search import BLOCK, CHUNK, DIGITS, PROBES, Tiles, _best_places, _joined, _matrix, best_in_tile, best_per_query, in_tiles, usable
+from supportlens.operators.vector_search import BLOCK, CHUNK, DIGITS, PROBES, Tiles, _best_places, _matrix, best_in_tile, best_per_query, in_tiles, strips_of, usable
 from supportlens.session import written
 
 #: Rows that centroids and codewords are fitted on at most, and of them for each list; questions that calibrate a search.
@@ -154,19 +154,22 @@ def _candidates(index: QuantisedIndex, tiles: Tiles, probed: DataFrame, candidat
     doubles = [T.StructField(name, T.DoubleType()) for name in ("code_score", "search_score")]
     schema = T.StructType([probed.schema["query_id"], index.codes.schema["neighbour_id"], *doubles])
 
-    def score(first: int, cells: int, asked: pa.Table, coded: pa.Table) -> pa.Table:
-        keys, found, values = coded.column("neighbour_id").combine_chunks(), [], [np.zeros(0)]
-        if len(keys):
-            codes = np.frombuffer(b"".join(coded.column("code").to_pylist()), np.uint8).reshape(len(keys), -1)
-            vectors, questions = _matrix(coded.column("vector"), dims), _matrix(asked.column("query_vector"), dims)
-            for row, place, value in best_in_tile(asked, keys, coded.column("cell").to_numpy() - first, books.decoded(codes), cells, candidates, exclude_self, None):
-                found.append((row, place, value))
+    def score(first: int, cells: int, coded: pa.Table):
+        keys, vectors = coded.column("neighbour_id").combine_chunks(), _matrix(coded.column("vector"), dims)
+        codes = np.frombuffer(b"".join(coded.column("code").to_pylist()), np.uint8).reshape(len(keys), -1)
+        strips = strips_of(coded.column("cell").to_numpy() - first, books.decoded(codes))
+
+        def answer(asked: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for part, row, place, value in best_in_tile(asked, keys, strips, dims, cells, candidates, exclude_self, None):
+                questions, values = _matrix(part.column("query_vector"), dims), [np.zeros(0)]
                 # So many pairs at a time.
                 for i in range(0, len(row), CHUNK):
                     values.append(np.einsum("ij,ij->i", questions[row[i : i + CHUNK]], vectors[place[i : i + CHUNK]]))
-        row, place, value = _joined(found)
-        exact = np.round(np.concatenate(values), DIGITS)
-        return pa.table({"query_id": asked.column("query_id").take(row), "neighbour_id": keys.take(place), "code_score": pa.array(value), "search_score": pa.array(exact)})
+                exact = np.round(np.concatenate(values), DIGITS)
+                columns = [part.column("query_id").take(pa.array(row)), keys.take(pa.array(place)), pa.array(value), pa.array(exact)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+        return answer
 
     return in_tiles(index.codes.withColumnRenamed("list", "cell"), probed.drop("codes"), tiles, score, schema)
 

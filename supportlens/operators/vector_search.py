@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -272,23 +273,27 @@ def _best_places(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np
     return row[kept], place[kept], value[kept]
 
 
+def strips_of(cell: np.ndarray, vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Vectors of neighbouring cells of a tile: their places, themselves as columns, and their cells."""
+    order = np.argsort(cell, kind="stable")
+    places = [np.sort(order[i : i + STRIP]) for i in range(0, len(order), STRIP)]
+    return [(at, np.ascontiguousarray(vectors[at].T), cell[at]) for at in places]
+
+
 def best_in_tile(
-    asked: pa.Table, keys: pa.Array, cell: np.ndarray, vectors: np.ndarray, cells: int, k: int, exclude_self: bool, digits: int | None = DIGITS
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The ``k`` best vectors of a tile for its queries: places in ``asked``, places in ``keys`` and scores, by blocks.
+    asked: pa.RecordBatch, keys: pa.Array, strips: list, dims: int, cells: int, k: int, exclude_self: bool, digits: int | None = DIGITS
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """The ``k`` best vectors of a tile for its queries, by blocks: a block, places in it, places in ``keys`` and scores.
 
-    ``keys`` are in order, so that equal scores go by key; ``cell`` counts from the first cell of the tile. A row of
-    ``asked`` has its id, vector, the bits of its cells and ``least``, below which no score is wanted.
+    ``keys`` are in order, so that equal scores go by key; cells of ``strips`` count from the first one of the tile. A row
+    of ``asked`` has its id, vector, the bits of its cells and ``least``, below which no score is wanted.
     """
-    order = np.argsort(cell, kind="stable")
-    strips = [np.sort(order[i : i + STRIP]) for i in range(0, len(order), STRIP)]
-    strips = [(at, np.ascontiguousarray(vectors[at].T), cell[at]) for at in strips]
     names = keys.to_numpy(zero_copy_only=False)
-    for start in range(0, len(asked), BLOCK):
+    for start in range(0, asked.num_rows, BLOCK):
         part = asked.slice(start, BLOCK)
-        ids, matrix = part.column("query_id").to_numpy(), _matrix(part.column("query_vector"), vectors.shape[1])
+        ids, matrix = part.column("query_id").to_numpy(zero_copy_only=False), _matrix(part.column("query_vector"), dims)
         bits = np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint8).reshape(len(part), -1)
-        wanted, least = np.unpackbits(bits, axis=1, count=cells).astype(bool), part.column("least").to_numpy().copy()
+        wanted, least = np.unpackbits(bits, axis=1, count=cells).astype(bool), part.column("least").to_numpy(zero_copy_only=False).copy()
         best = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
         for at, strip, place in strips:
             low, high = place.min(), place.max() + 1
@@ -316,7 +321,7 @@ def best_in_tile(
             full = np.bincount(best[0], minlength=len(part)) >= k
             last = np.searchsorted(best[0], np.flatnonzero(full), "right") - 1
             least[full] = np.maximum(least[full], best[2][last])
-        yield best[0] + start, best[1], best[2]
+        yield part, *best
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -335,7 +340,7 @@ def best_per_query(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def in_tiles(index: DataFrame, chosen: DataFrame, tiles: Tiles, score, schema: T.StructType) -> DataFrame:
-    """What ``score(first cell, cells, queries, vectors)`` returns for each tile of the index and part of its queries.
+    """What ``score(first cell, cells, vectors)(queries)`` yields for each tile of the index and some of its queries at a time.
 
     ``index`` has ``neighbour_id``, ``cell`` and more, ``chosen`` is a stored table with ``query_id``, ``probes`` and more.
     """
@@ -355,13 +360,37 @@ def in_tiles(index: DataFrame, chosen: DataFrame, tiles: Tiles, score, schema: T
     left = sent.join(cuts, "tile").withColumn("query_part", part("query_id", "query_parts")).withColumn("part", every("parts")).drop("parts", "query_parts")
     right = index.join(of, "cell").join(cuts, "tile").withColumn("part", part("neighbour_id", "parts")).withColumn("query_part", every("query_parts")).drop("parts", "query_parts")
     first, cells = tiles.first, tiles.cells
-
-    def run(group: tuple, asked: pa.Table, vectors: pa.Table) -> pa.Table:
-        tile = group[0].as_py()
-        return score(int(first[tile]), int(cells[tile]), asked, vectors.sort_by("neighbour_id"))
-
+    # One table of both, so that a task holds the vectors of a tile and some of its queries at a time: vectors come first.
     keys = ["tile", "query_part", "part"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
+    asks, has = [c for c in left.columns if c not in keys], [c for c in right.columns if c not in keys]
+    sides = [
+        side.select(*keys, F.lit(name == "asks").alias("asks"), F.struct(*asks).alias("query") if name == "asks" else F.lit(None).cast(left.select(F.struct(*asks)).schema[0].dataType).alias("query"),
+                    F.struct(*has).alias("row") if name == "has" else F.lit(None).cast(right.select(F.struct(*has)).schema[0].dataType).alias("row"))
+        for name, side in (("has", right), ("asks", left))
+    ]
+    dealt = sides[0].unionByName(sides[1]).repartition(*keys).sortWithinPartitions(*keys, "asks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, answer = None, [], None
+        for batch in batches:
+            places = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (*keys, "asks")], axis=1)
+            for i, j in pairwise([0, *(np.flatnonzero((np.diff(places, axis=0) != 0).any(axis=1)) + 1).tolist(), len(places)]):
+                if i == j:
+                    continue
+                *now, asking = places[i].tolist()
+                if at != now:
+                    at, held, answer = now, [], None
+                some = batch.slice(i, j - i)
+                if not asking:
+                    # A copy, for a slice would keep its whole batch in memory.
+                    held.append(pa.Table.from_struct_array(some.column("row").take(pa.array(np.arange(j - i)))))
+                    continue
+                if answer is None and held:
+                    answer, held = score(int(first[at[0]]), int(cells[at[0]]), pa.concat_tables(held).sort_by("neighbour_id")), []
+                if answer is not None:
+                    yield from answer(pa.RecordBatch.from_struct_array(some.column("query")))
+
+    return dealt.mapInArrow(run, schema)
 
 
 def _scored(placed: DataFrame, chosen: DataFrame, lists: Lists, k: int, exclude_self: bool) -> DataFrame:
@@ -369,20 +398,18 @@ def _scored(placed: DataFrame, chosen: DataFrame, lists: Lists, k: int, exclude_
     dims = lists.centroids.shape[1]
     schema = T.StructType([chosen.schema["query_id"], placed.schema["neighbour_id"], T.StructField("search_score", T.DoubleType())])
 
-    def score(first: int, cells: int, asked: pa.Table, vectors: pa.Table) -> pa.Table:
+    def score(first: int, cells: int, vectors: pa.Table):
         keys = vectors.column("neighbour_id").combine_chunks()
-        cell = vectors.column("cell").to_numpy() - first
-        found = [*best_in_tile(asked, keys, cell, _matrix(vectors.column("vector"), dims), cells, k, exclude_self)] if len(keys) else []
-        row, place, value = _joined(found)
-        return pa.table({"query_id": asked.column("query_id").take(row), "neighbour_id": keys.take(place), "search_score": pa.array(value)})
+        strips = strips_of(vectors.column("cell").to_numpy() - first, _matrix(vectors.column("vector"), dims))
 
-    return in_tiles(placed, chosen, lists.tiles, score, schema)
+        def answer(asked: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for part, row, place, value in best_in_tile(asked, keys, strips, dims, cells, k, exclude_self):
+                columns = [part.column("query_id").take(pa.array(row)), keys.take(pa.array(place)), pa.array(value)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
+        return answer
 
-def _joined(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[pa.Array, pa.Array, np.ndarray]:
-    """Results of several blocks as one."""
-    row, place, value = (np.concatenate(c) for c in zip((np.zeros(0, int), np.zeros(0, int), np.zeros(0)), *found))
-    return pa.array(row), pa.array(place), value
+    return in_tiles(placed, chosen, lists.tiles, score, schema)
 
 
 def knn_approximate(

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
-from supportlens.operators import quantised
+from supportlens.operators import quantised, vector_search
 from tests.test_search import brute_neighbours, clustered, frame, pairs
 
 
@@ -70,3 +72,25 @@ def test_repeated_ids_stand_for_all_their_rows(spark, tmp_path):
         for n in sorted((n for n in range(12) if n != q), key=lambda n: -round(float(vectors[q] @ vectors[n]), 6)):
             want += [n] * ((2 if q < 6 else 1) * (2 if n < 6 else 1)) ** 2
         assert [r["neighbour_id"] for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] == want[:12]
+
+
+def test_a_tile_meets_its_queries_in_batches(spark):
+    tiles = vector_search.Tiles(np.array([60, 40]))
+    index = spark.createDataFrame([(i, [1.0, float(i)], i // 60) for i in range(100)], "neighbour_id long, vector array<double>, cell int")
+    asked = spark.createDataFrame([(i, [1.0, 1.0], 0.0, [(0, b"\xc0")]) for i in range(300)], T.StructType([
+        T.StructField("query_id", T.LongType()), T.StructField("query_vector", T.ArrayType(T.DoubleType())), T.StructField("least", T.DoubleType()), T.StructField("probes", vector_search.PROBES),
+    ]))
+
+    def score(first, cells, vectors):
+        def answer(queries):
+            yield pa.RecordBatch.from_arrays([pa.array([queries.num_rows]), pa.array([len(vectors)])], ["queries", "vectors"])
+
+        return answer
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "50")
+    try:
+        got = vector_search.in_tiles(index, asked, tiles, score, T.StructType([T.StructField("queries", T.LongType()), T.StructField("vectors", T.LongType())])).collect()
+    finally:
+        spark.conf.unset(name)
+    assert sum(r["queries"] for r in got) == 300 and max(r["queries"] for r in got) <= 50 and {r["vectors"] for r in got} == {100}
